@@ -87,10 +87,19 @@ def duplicated_rows(df: DataFrame, keys: Sequence[str], blank_key: str) -> DataF
     return _matching(rows, duplicated_keys(rows, keys), keys)
 
 
-def keep_best(df: DataFrame, keys: Sequence[str], score: str = "score") -> DataFrame:
-    """Rows whose score is the best of their key, ties included."""
-    best = df.groupBy(*keys).agg(F.max(score).alias(score))
-    return _matching(df, best, [*keys, score])
+def keep_best(df: DataFrame, keys: Sequence[str], score: str = "score",
+              duplicated_only: str | None = None) -> DataFrame:
+    """Rows whose score is the best of their key, ties included.
+
+    ``duplicated_only`` names the key column that must be filled; only keys seen
+    at least twice are then considered. Size and best score of a key come from
+    the same aggregate, so this is still one join.
+    """
+    rows = df if duplicated_only is None else df.filter(is_filled(duplicated_only))
+    best = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max(score).alias(score))
+    if duplicated_only is not None:
+        best = best.filter(F.col("n") >= 2)
+    return _matching(rows, best, [*keys, score])
 
 
 # --- de-duplication -----------------------------------------------------------

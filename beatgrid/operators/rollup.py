@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beatgrid.functions.labels import label_index
@@ -116,50 +116,64 @@ def roll_up_all(facts: DataFrame, dims: Sequence[str] = (), levels: Sequence[Lev
 
 # --- wide tables --------------------------------------------------------------
 
-def _total(columns: Sequence[Column]) -> Column:
+def cell_counts(df: DataFrame, keys: Sequence[str], crime_vocabulary: Mapping[str, str],
+                outcome_vocabulary: Mapping[str, str], crime: str = "crime_type",
+                outcome: str = "outcome", count: str | None = None) -> DataFrame:
+    """Long counts per key and ``cell`` of the type-by-outcome grid.
+
+    The grid has one extra line and column for labels outside the vocabularies,
+    so every row falls into exactly one cell, and a key has at most as many rows
+    as the grid has cells.
+    """
+    width = len(outcome_vocabulary) + 1
+    cell = label_index(crime, crime_vocabulary) * width + label_index(outcome, outcome_vocabulary)
+    amount = F.count(F.lit(1)) if count is None else F.sum(count)
+    return df.groupBy(*keys, cell.alias("cell")).agg(amount.alias("n"))
+
+
+def _total(cells: Sequence[int]) -> str:
     """Sum as a balanced tree, which keeps hundreds of terms shallow."""
-    terms = list(columns)
+    terms = [f"c{i}" for i in cells]
     while len(terms) > 1:
-        pairs = [terms[i] + terms[i + 1] for i in range(0, len(terms) - 1, 2)]
+        pairs = [f"({terms[i]} + {terms[i + 1]})" for i in range(0, len(terms) - 1, 2)]
         terms = pairs + ([terms[-1]] if len(terms) % 2 else [])
     return terms[0]
 
 
-def wide(df: DataFrame, keys: Sequence[str], crime_vocabulary: Mapping[str, str],
-         outcome_vocabulary: Mapping[str, str], crime: str = "crime_type",
-         outcome: str = "outcome", count: str | None = None) -> DataFrame:
+def spread(cells: DataFrame, keys: Sequence[str], crime_vocabulary: Mapping[str, str],
+           outcome_vocabulary: Mapping[str, str], together: Sequence[str] | None = None) -> DataFrame:
     """``total_obs``, one count per type, per outcome and per pair of both.
 
-    Every row falls into one cell of a type-by-outcome grid with one extra line
-    and column for labels outside the vocabularies. Cells are counted in long
-    form with reduction before the shuffle; after that a key has at most as many
-    rows as the grid has cells. Only these are brought together and spread, and
-    all other columns are sums of cells.
+    The few cells of a key are brought together in long form (by ``together``,
+    a subset of the keys that determines the rest), then spread within their
+    partition; wide rows are never shuffled. Other columns are sums of cells.
     """
-    width = len(outcome_vocabulary) + 1
-    cells = (len(crime_vocabulary) + 1) * width
-    cell = label_index(crime, crime_vocabulary) * width + label_index(outcome, outcome_vocabulary)
-    amount = F.count(F.lit(1)) if count is None else F.sum(count)
-    counted = df.groupBy(*keys, cell.alias("_cell")).agg(amount.alias("_n"))
-    spread = (
-        counted.repartition(*[F.col(k) for k in keys])
-        .groupBy(*keys)
-        .pivot("_cell", list(range(cells)))
-        .agg(F.sum("_n"))
-        .na.fill(0, [str(i) for i in range(cells)])
-    )
-    grid = [[F.col(f"`{row * width + column}`") for column in range(width)]
-            for row in range(len(crime_vocabulary) + 1)]
     crimes, outcomes = list(crime_vocabulary.values()), list(outcome_vocabulary.values())
-    return spread.select(
+    lines, width = len(crimes) + 1, len(outcomes) + 1
+    grid = [[line * width + column for column in range(width)] for line in range(lines)]
+    flat = [cell for line in grid for cell in line]
+    pivoted = (
+        cells.repartition(*[F.col(k) for k in together or keys])
+        .groupBy(*keys).pivot("cell", flat).agg(F.sum("n"))
+        .selectExpr(*keys, *[f"coalesce(`{cell}`, 0L) AS c{cell}" for cell in flat])
+    )
+    return pivoted.selectExpr(
         *keys,
-        _total([c for row in grid for c in row]).alias("total_obs"),
-        *[_total(grid[i]).alias(slug) for i, slug in enumerate(crimes)],
-        *[_total([row[j] for row in grid]).alias(slug) for j, slug in enumerate(outcomes)],
-        *[grid[i][j].alias(a + b) for i, a in enumerate(crimes) for j, b in enumerate(outcomes)],
+        f"{_total(flat)} AS total_obs",
+        *[f"{_total(grid[i])} AS {slug}" for i, slug in enumerate(crimes)],
+        *[f"{_total([line[j] for line in grid])} AS {slug}" for j, slug in enumerate(outcomes)],
+        *[f"c{grid[i][j]} AS {a}{b}" for i, a in enumerate(crimes) for j, b in enumerate(outcomes)],
     )
 
 
+def wide(df: DataFrame, keys: Sequence[str], crime_vocabulary: Mapping[str, str],
+         outcome_vocabulary: Mapping[str, str], crime: str = "crime_type",
+         outcome: str = "outcome", count: str | None = None) -> DataFrame:
+    """Wide counts per key: cells counted in long form, then spread."""
+    cells = cell_counts(df, keys, crime_vocabulary, outcome_vocabulary, crime, outcome, count)
+    return spread(cells, keys, crime_vocabulary, outcome_vocabulary)
+
+
 def wide_columns(crime_vocabulary: Mapping[str, str], outcome_vocabulary: Mapping[str, str]) -> list[str]:
     """Names of the count columns of a wide table, in order."""
     crimes, outcomes = list(crime_vocabulary.values()), list(outcome_vocabulary.values())

@@ -5,7 +5,17 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from beatgrid.operators.counts import with_year
-from beatgrid.operators.rollup import LEVELS, MATCH_ON, PERIODS, attach_parents, long_facts, wide
+from beatgrid.operators.rollup import (
+    LEVELS,
+    MATCH_ON,
+    PARENTS,
+    PERIODS,
+    attach_parents,
+    cell_counts,
+    long_facts,
+    spread,
+    wide,
+)
 from beatgrid.vocabulary import CRIME_TYPES, OUTCOMES
 
 DIMS = ("crime_type", "outcome")
@@ -31,6 +41,8 @@ def feature_table(facts: DataFrame, level: str, period: str,
 def small_month_features(records: DataFrame, crosswalk: DataFrame,
                          crime_vocabulary: Mapping[str, str] = CRIME_TYPES,
                          outcome_vocabulary: Mapping[str, str] = OUTCOMES) -> DataFrame:
-    """Wide counts of small areas by month straight from records, then parents."""
-    counted = wide(records, [*MATCH_ON, "month"], crime_vocabulary, outcome_vocabulary)
-    return attach_parents(counted, crosswalk)
+    """Wide counts of small areas by month straight from records, with parents."""
+    own = [*MATCH_ON, "month"]
+    cells = attach_parents(
+        cell_counts(records, own, crime_vocabulary, outcome_vocabulary), crosswalk)
+    return spread(cells, [*own, *PARENTS], crime_vocabulary, outcome_vocabulary, together=own)

@@ -34,7 +34,7 @@ def semi_duplicated(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def keep_best_score(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.keep_best(clean.duplicated_rows(_scored(spark, sf), KEYS, "crime_id"), KEYS)
+    return clean.keep_best(_scored(spark, sf), KEYS, duplicated_only="crime_id")
 
 
 QUERIES = {
