@@ -121,29 +121,40 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] |
     return first.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
-def dedup_by_completeness(df: DataFrame, keys: Sequence[str], required: Sequence[str],
-                          optional: str | None = None, blank_key: str | None = None,
-                          order_by: Sequence[Column] | None = None) -> DataFrame:
-    """One row per key, the most complete one; ties go to the smallest row.
+def _survivor_groups(df: DataFrame, keys: Sequence[str], score: Column, blank_key: str | None,
+                     order_by: Sequence[Column], *more: Column) -> tuple[DataFrame, dict[str, Column]]:
+    """One group per surviving row, and the survivor's columns as expressions.
 
-    With ``blank_key`` rows that lack that key have no identity: they are only
-    reduced to distinct rows. Both rules are one aggregate over one scan. A row
-    without identity is its own group, so it is shuffled once, as a group key.
+    Filled keys group by key and keep their best row. A row whose ``blank_key``
+    is blank has no identity: the whole row is its group, so equal rows merge
+    and the row is shuffled once, as a group key.
     """
     rest = [c for c in df.columns if c not in keys]
-    rank = [(-completeness(required, optional)).alias("_rank")]
-    rank += [column.alias(f"_r{i}") for i, column in enumerate(order_by or [])]
+    rank = [(-score).alias("_rank"), *[column.alias(f"_r{i}") for i, column in enumerate(order_by)]]
     candidate = F.struct(*rank, *rest)
+    value = {c: F.col(c) for c in keys}
     if blank_key is None:
-        best = df.groupBy(*keys).agg(F.min(candidate).alias("_best"))
-        value = {c: F.col("_best")[c] for c in rest}
+        groups = df.groupBy(*keys).agg(F.min(candidate).alias("_best"), *more)
+        value.update({c: F.col("_best")[c] for c in rest})
     else:
         own = F.when(is_blank(blank_key), F.struct(*rest))
-        best = df.groupBy(*keys, own.alias("_own")).agg(
-            F.min(F.when(is_filled(blank_key), candidate)).alias("_best")
-        )
-        value = {c: F.coalesce(F.col("_own")[c], F.col("_best")[c]) for c in rest}
-    return best.select(*[F.col(c) if c in keys else value[c].alias(c) for c in df.columns])
+        best = F.min(F.when(is_filled(blank_key), candidate))
+        groups = df.groupBy(*keys, own.alias("_own")).agg(best.alias("_best"), *more)
+        value.update({c: F.coalesce(F.col("_own")[c], F.col("_best")[c]) for c in rest})
+    return groups, value
+
+
+def dedup_by_completeness(df: DataFrame, keys: Sequence[str], required: Sequence[str],
+                          optional: str | None = None, blank_key: str | None = None,
+                          order_by: Sequence[Column] = ()) -> DataFrame:
+    """One row per key, the most complete one; ties go to the smallest row.
+
+    With ``blank_key`` rows that lack that key are only reduced to distinct rows.
+    Both rules are one aggregate over one scan.
+    """
+    score = completeness(required, optional)
+    groups, value = _survivor_groups(df, keys, score, blank_key, order_by)
+    return groups.select(*[value[c].alias(c) for c in df.columns])
 
 
 # --- audit --------------------------------------------------------------------
@@ -152,41 +163,31 @@ def audit(df: DataFrame, keys: Sequence[str], required: Sequence[str], optional:
           blank_key: str, location: Sequence[str]) -> DataFrame:
     """One row with the size of every cleaning stage, from one pass over the rows.
 
-    Groups are formed as in ``dedup_by_completeness``; each stage size is then a
-    conditional sum over the groups.
+    Groups are those of ``dedup_by_completeness``; every stage size is a
+    conditional sum over them.
     """
-    rest = [c for c in df.columns if c not in keys]
     score = completeness(required, optional)
-    blank = is_blank(blank_key)
-    located = ~all_blank(location)
-    count_if = lambda condition: F.sum(F.when(condition, 1).otherwise(0))
-    groups = (
-        df.withColumns({"_score": score, "_located": located})
-        .groupBy(*keys, F.when(blank, F.struct(*rest)).alias("_own"))
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[count_if(F.col("_score") == s).alias(f"_n{s}") for s in (0, 1, 2)],
-            # The survivor's location flag travels with the survivor.
-            F.min(F.struct((-F.col("_score")).alias("_rank"), *rest, "_located")).alias("_best"),
-        )
-    )
-    single = is_blank(blank_key) | (F.col("_n") == 1)
+    rows_with = lambda s: F.sum(F.when(score == s, 1).otherwise(0))
+    groups, value = _survivor_groups(
+        df, keys, score, blank_key, (),
+        F.count(F.lit(1)).alias("_n"), rows_with(2).alias("_n2"), rows_with(1).alias("_n1"))
+    survivors = groups.select(
+        *keys, "_n", "_n1", "_n2", *[value[c].alias(c) for c in location if c not in keys])
+    n = F.col("_n")
+    single = is_blank(blank_key) | (n == 1)
     at_best = (
-        F.when(F.col("_n2") > 0, F.col("_n2"))
-        .when(F.col("_n1") > 0, F.col("_n1"))
-        .otherwise(F.col("_n0"))
+        F.when(F.col("_n2") > 0, F.col("_n2")).when(F.col("_n1") > 0, F.col("_n1")).otherwise(n)
     )
-    rows_if = lambda condition, n: F.coalesce(
-        F.sum(F.when(condition, n).otherwise(0)), F.lit(0)).cast("bigint")
-    n, one = F.col("_n"), F.lit(1)
-    always = F.lit(True)
-    return groups.agg(
-        rows_if(always, n).alias("before"),
-        rows_if(single, n).alias("unique_or_blank"),
-        rows_if(single, one).alias("unique_or_blank_distinct"),
-        rows_if(~single, n).alias("duplicated"),
-        rows_if(~single, at_best).alias("duplicated_best"),
-        rows_if(~single, one).alias("survivors"),
-        rows_if(always, one).alias("recombined"),
-        rows_if(F.col("_best")["_located"], one).alias("locatable"),
+    always, one = F.lit(True), F.lit(1)
+    total = lambda condition, weight: F.coalesce(
+        F.sum(F.when(condition, weight).otherwise(0)), F.lit(0)).cast("bigint")
+    return survivors.agg(
+        total(always, n).alias("before"),
+        total(single, n).alias("unique_or_blank"),
+        total(single, one).alias("unique_or_blank_distinct"),
+        total(~single, n).alias("duplicated"),
+        total(~single, at_best).alias("duplicated_best"),
+        total(~single, one).alias("survivors"),
+        total(always, one).alias("recombined"),
+        total(~all_blank(location), one).alias("locatable"),
     )

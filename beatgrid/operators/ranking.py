@@ -31,20 +31,21 @@ def _cut(df: DataFrame, column: str, rows_per_range: int) -> DataFrame:
     return cutter.transform(numeric).drop("_value")
 
 
-def _range_offsets(df: DataFrame, weight) -> dict[float, int]:
+def _range_offsets(df: DataFrame, weight) -> tuple[dict[float, int], int]:
+    """Rows before each range, and rows in all."""
     sizes = df.groupBy("_range").agg(F.sum(weight).alias("n")).collect()
     offsets, total = {}, 0
     for row in sorted(sizes, key=lambda r: r["_range"]):
         offsets[row["_range"]] = total
         total += row["n"]
-    return offsets
+    return offsets, total
 
 
 def global_index(df: DataFrame, column: str, name: str = "index",
                  rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Zero-based position of each row by a numeric column with distinct values."""
     cut = _cut(df, column, rows_per_range)
-    offsets = _range_offsets(cut, F.lit(1))
+    offsets, _ = _range_offsets(cut, F.lit(1))
     if not offsets:
         return df.withColumn(name, F.lit(0).cast("bigint"))
     start = F.create_map(*[F.lit(v) for pair in offsets.items() for v in pair])
@@ -58,8 +59,7 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
     """Quantiles with linear interpolation between order statistics."""
     values = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     cut = _cut(values, column, rows_per_range)
-    offsets = _range_offsets(cut, F.col("_n"))
-    total = values.agg(F.sum("_n")).first()[0]
+    offsets, total = _range_offsets(cut, F.col("_n"))
     if not total:
         return [math.nan for _ in probabilities]
     positions = [p * (total - 1) for p in probabilities]

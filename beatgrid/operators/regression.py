@@ -187,7 +187,7 @@ class _Moments:
         return cls(n, mean, cross)
 
 
-def _solve(levels: dict, order: Sequence):
+def _solve(levels: dict):
     """Slopes from cross products centred within levels, then one effect per level."""
     within = sum(m.cross for m in levels.values())
     slopes = np.linalg.solve(within[:-1, :-1], within[:-1, -1])
@@ -212,11 +212,11 @@ def kfold_cv(df: DataFrame, y: str, xs: Sequence[str], factor: str, key: Column,
     training set is the merge of the other folds' moments, and a fold's test
     error follows from its own moments, so the rows are read once for k fits.
     """
-    levels = len(factor_levels(df, factor))
-    if k * levels > 100 * MAX_TERMS:
-        raise ValueError("too many folds and factor levels for model-sized results")
     size = len(xs) + 1
-    rows = cross_moments(df.withColumn("_fold", hash_fold(key, k)), y, xs, ["_fold", factor]).collect()
+    moments = cross_moments(df.withColumn("_fold", hash_fold(key, k)), y, xs, ["_fold", factor])
+    rows = moments.take(k * MAX_TERMS + 1)
+    if len(rows) > k * MAX_TERMS:
+        raise ValueError(f"{factor} has more levels than a model can hold ({MAX_TERMS})")
     cells = {(r["_fold"], r[factor]): _Moments.of_row(r, size) for r in rows}
     order = sorted({level for _, level in cells})
     out = []
@@ -226,7 +226,7 @@ def kfold_cv(df: DataFrame, y: str, xs: Sequence[str], factor: str, key: Column,
             parts = [m for (f, v), m in cells.items() if v == level and f != fold]
             if parts:
                 train[level] = _Moments.merged(parts)
-        slopes, effects, adj_r2 = _solve(train, order)
+        slopes, effects, adj_r2 = _solve(train)
         test = {v: m for (f, v), m in cells.items() if f == fold}
         n_test = sum(m.n for m in test.values())
         # A level that only the test fold has cannot be predicted.
@@ -246,8 +246,12 @@ def kfold_cv(df: DataFrame, y: str, xs: Sequence[str], factor: str, key: Column,
 
 
 def cv_means(folds: DataFrame) -> DataFrame:
-    """Mean of every fold metric."""
-    return folds.agg(*[F.avg(c).alias(c) for c in folds.columns if c not in ("fold", "n_test")])
+    """All folds in one row, numbered -1: rows tested, and the mean of every metric."""
+    return folds.agg(
+        F.lit(-1).alias("fold"),
+        F.sum("n_test").alias("n_test"),
+        *[F.avg(c).alias(c) for c in folds.columns if c not in ("fold", "n_test")],
+    )
 
 
 # --- relations and clusters ---------------------------------------------------------

@@ -20,5 +20,4 @@ def fit_counts(counts: DataFrame, rates: DataFrame, skeleton: DataFrame) -> Fit:
 def validate_counts(frame: DataFrame, k: int = 10) -> DataFrame:
     """Fold metrics, and their means as fold -1."""
     folds = kfold_cv(frame, "count", PREDICTORS, "year", district_year_key(), k)
-    total = folds.agg(F.lit(-1).alias("fold"), F.sum("n_test").alias("n_test"))
-    return folds.unionByName(total.join(cv_means(folds)))
+    return folds.unionByName(cv_means(folds))

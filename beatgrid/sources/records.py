@@ -11,6 +11,24 @@ from beatgrid.sources.staging import write_stage
 CORRUPT = "_corrupt_record"
 
 
+def quoted_csv(reader):
+    """Options of a quoted CSV with a header per file, for batch and stream readers."""
+    return (
+        reader.option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+    )
+
+
+def blanks_to_null(raw: DataFrame) -> DataFrame:
+    return raw.select(*[
+        null_if_blank(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+        for f in raw.schema.fields
+    ])
+
+
 def read_text_table(spark: SparkSession, paths, schema: T.StructType,
                     keep_corrupt: bool = False, recursive: bool = False) -> DataFrame:
     """Quoted CSV with a header per file. Blank fields come back as NULL.
@@ -21,20 +39,8 @@ def read_text_table(spark: SparkSession, paths, schema: T.StructType,
     full = schema
     if keep_corrupt:
         full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    raw = (
-        spark.read.schema(full)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", recursive)
-        .csv(paths)
-    )
-    return raw.select(*[
-        null_if_blank(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
-        for f in full.fields
-    ])
+    reader = quoted_csv(spark.read.schema(full)).option("recursiveFileLookup", recursive)
+    return blanks_to_null(reader.csv(paths))
 
 
 def read_records(spark: SparkSession, paths, kind: str,
