@@ -33,6 +33,10 @@ def to_double(name: str) -> Column:
     return F.col(name).try_cast("double")
 
 
+def is_number(name: str) -> Column:
+    return F.col(name).isNotNull() & ~F.isnan(name)
+
+
 def year_of(month: str = "month") -> Column:
     """The ``yyyy`` of a ``yyyy-MM`` text."""
     return F.substring(F.col(month), 1, 4)

@@ -21,7 +21,20 @@ def inner_on(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def full_outer_on(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    return left.join(right, list(on), "full_outer")
+    """Both sides kept: the matches, and the rows of each side without a match.
+
+    Spark cannot split a hot key of a full outer join, but it can split one of
+    an inner or anti join. Each side is shuffled once; the anti joins reuse that
+    shuffle and meet it with distinct keys.
+    """
+    keys = list(on)
+    matched = left.join(right, keys, "inner")
+    left_only = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    right_only = right.join(left.select(*keys).distinct(), keys, "left_anti")
+    return (
+        matched.unionByName(left_only, allowMissingColumns=True)
+        .unionByName(right_only, allowMissingColumns=True)
+    )
 
 
 def left_from_skeleton(skeleton: DataFrame, values: DataFrame, on: Sequence[str]) -> DataFrame:

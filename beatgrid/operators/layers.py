@@ -14,6 +14,7 @@ from beatgrid.operators.joins import first_match
 from beatgrid.vocabulary import (
     COUNT_BAND_COLOURS,
     EQUAL_WIDTH_COLOURS,
+    FIXED_BAND_COLOURS,
     FIXED_RATE_MEAN,
     FIXED_RATE_SD,
     MISSING_COLOUR,
@@ -53,7 +54,7 @@ def classify_counts_half_sd(df: DataFrame, column: str) -> DataFrame:
 
 
 def classify_by_breaks(df: DataFrame, column: str, breaks: Sequence[float] | None = None,
-                       colours: Sequence[str] = RATE_BAND_COLOURS) -> DataFrame:
+                       colours: Sequence[str] = FIXED_BAND_COLOURS) -> DataFrame:
     """Fixed limits; by default one deviation around the published mean."""
     if breaks is None:
         breaks = (FIXED_RATE_MEAN - FIXED_RATE_SD, FIXED_RATE_MEAN, FIXED_RATE_MEAN + FIXED_RATE_SD)

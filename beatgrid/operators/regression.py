@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from beatgrid.functions.folds import hash_fold
 from beatgrid.functions.tails import f_tail, t_tail
-from beatgrid.functions.text import to_double
-from beatgrid.operators.joins import full_outer_on, left_from_skeleton
+from beatgrid.functions.text import is_number, to_double
+from beatgrid.operators.joins import left_from_skeleton
 from beatgrid.operators.ranking import exact_quantiles
 from beatgrid.sources.staging import materialise
 from beatgrid.sources.tables import drop_markers, drop_named_row
@@ -36,18 +36,22 @@ def regression_frame(counts: DataFrame, rates: DataFrame, skeleton: DataFrame,
                      markers=RATE_MARKERS, total_row: str = RATE_TOTAL_ROW) -> DataFrame:
     """One complete row per skeleton district and year.
 
-    ``rates`` holds text; markers and the summary row are dropped after the
-    joins, the rest is cast, and rows with anything missing go.
+    ``rates`` holds text; marker and summary rows are dropped after the joins,
+    the rest is cast, and rows with anything missing go. Since the skeleton
+    decides the rows, counts and rates are attached to it one after the other
+    instead of being merged first. Completeness is one condition per column,
+    which lets the optimizer turn the outer joins into inner ones and filter
+    both inputs before the shuffle.
     """
-    both = full_outer_on(counts, rates, on)
-    frame = left_from_skeleton(skeleton, both, on)
+    frame = left_from_skeleton(left_from_skeleton(skeleton, counts, on), rates, on)
     frame = drop_named_row(drop_markers(frame, rate, markers), on[0], total_row)
-    return frame.select(
+    numbers = frame.select(
         *on,
         F.col(count).cast("double").alias(count),
         to_double(rate).alias(rate),
         to_double(population).alias(population),
-    ).dropna()
+    )
+    return numbers.filter(is_number(count) & is_number(rate) & is_number(population))
 
 
 # --- one predictor --------------------------------------------------------------

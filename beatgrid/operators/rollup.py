@@ -89,29 +89,32 @@ def roll_up(facts: DataFrame, keys: Sequence[str], count: str = "n") -> DataFram
 
 def roll_up_all(facts: DataFrame, dims: Sequence[str] = (), levels: Sequence[Level] = LEVELS,
                 periods: Mapping[str, tuple[str, ...]] = PERIODS, count: str = "n") -> DataFrame:
-    """Every area level by every period in one grouping-sets aggregate.
+    """Every area level by every period, finest first in ``levels`` and ``periods``.
 
-    ``area_level`` and ``period_level`` name the set a row belongs to, so a
-    missing parent is never mistaken for a column that the set leaves out.
+    An area level is first summed from the next finer one, then all its periods
+    come from one grouping-sets aggregate, so rows are multiplied by the number
+    of periods only, and only after they have been reduced to their level.
+    ``area_level`` and ``period_level`` name the set a row belongs to: a missing
+    parent is never mistaken for a column that the set leaves out.
     """
     period_columns = [c for columns in periods.values() for c in columns]
-    columns = [*levels[0].keys, *period_columns, *dims]
-    sets = [
-        [*level.keys, *period, *dims] for level in levels for period in periods.values()
-    ]
-    area = reduce(
-        lambda chain, level: F.when(F.grouping(level.own[0]) == 0, level.name).otherwise(chain),
-        reversed(levels), F.lit(None).cast("string"),
-    )
+    area_columns = levels[0].keys
     period = reduce(
         lambda chain, item: F.when(F.grouping(item[1][0]) == 0, item[0]).otherwise(chain),
         [item for item in periods.items() if item[1]], F.lit("all"),
     )
-    return (
-        facts.groupingSets(sets, *columns)
-        .agg(F.sum(count).alias(count), area.alias("area_level"), period.alias("period_level"))
-        .select("area_level", "period_level", *columns, count)
-    )
+    types = {f.name: f.dataType for f in facts.schema.fields}
+    parts, finer = [], facts
+    for depth, level in enumerate(levels):
+        if depth:
+            finer = roll_up(finer, [*level.keys, *period_columns, *dims], count)
+        sets = [[*level.keys, *columns, *dims] for columns in periods.values()]
+        summed = finer.groupingSets(sets, *level.keys, *period_columns, *dims).agg(
+            F.sum(count).alias(count), period.alias("period_level"))
+        shown = [F.col(c) if c in level.keys else F.lit(None).cast(types[c]).alias(c) for c in area_columns]
+        parts.append(summed.select(
+            F.lit(level.name).alias("area_level"), "period_level", *shown, *period_columns, *dims, count))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- wide tables --------------------------------------------------------------

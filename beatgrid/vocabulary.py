@@ -87,6 +87,7 @@ RATE_TOTAL_ROW = "Column Total"
 
 # --- fixed values: map palettes and class limits -----------------------------
 RATE_BAND_COLOURS = ("#d5edff", "#6daaee", "#3858f9", "#043c9a")
+FIXED_BAND_COLOURS = ("#d5edff", "#6daaee", "#3858f9", "#002566")
 COUNT_BAND_COLOURS = ("#f6a0a0", "#ff4b4b", "#fe0100", "#990100")
 CYCLE_COLOURS = ("#F1EEF6", "#D4B9DA", "#C994C7", "#DF65B0", "#DD1C77", "#980043")
 EQUAL_WIDTH_COLOURS = (

@@ -11,6 +11,7 @@ from beatgrid.vocabulary import (
     COUNT_BAND_COLOURS,
     CYCLE_COLOURS,
     EQUAL_WIDTH_COLOURS,
+    FIXED_BAND_COLOURS,
     RATE_BAND_COLOURS,
 )
 
@@ -109,7 +110,14 @@ def test_count_and_fixed_bands(values):
     for r in layers.classify_counts_half_sd(values, "count").collect():
         assert r["color"] == banded(r["count"], np.mean(counts), np.std(counts) / 2, COUNT_BAND_COLOURS)
     for r in layers.classify_by_breaks(values, "rate").collect():
-        assert r["color"] == banded(r["rate"], 6.7, 2.9, RATE_BAND_COLOURS)
+        assert r["color"] == banded(r["rate"], 6.7, 2.9, FIXED_BAND_COLOURS)
+
+
+def test_fixed_limits_are_mean_plus_minus_deviation_in_double_arithmetic(spark):
+    """6.7 - 2.9 lies just above 3.8, so a rate of 3.8 is in the lowest class."""
+    df = spark.createDataFrame([(3.8,), (9.6,)], "rate double")
+    got = [r["color"] for r in layers.classify_by_breaks(df, "rate").collect()]
+    assert got == [FIXED_BAND_COLOURS[0], FIXED_BAND_COLOURS[3]]
 
 
 def test_equal_width_truncates_toward_zero_and_caps(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from beatgrid.functions.folds import hash_fold
 from beatgrid.functions.tails import f_tail, incomplete_beta, t_tail
-from beatgrid.operators import ranking, regression
+from beatgrid.operators import joins, ranking, regression
 from beatgrid.plans import modelling as plan
 
 YEARS = (2011, 2012, 2013)
@@ -129,6 +129,16 @@ def test_frame_keeps_complete_skeleton_rows(spark):
         [(d, y) for d in ("A", "B", "C", "D", "Column Total") for y in (2011, 2012)], "district string, year int")
     out = regression.regression_frame(counts, rates, skeleton).collect()
     assert [tuple(r) for r in out] == [("A", 2011, 5.0, 7.5, 100.0)]
+    plan_text = regression.regression_frame(counts, rates, skeleton)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Outer" not in plan_text and plan_text.count("Join Inner") == 2
+
+
+def test_full_outer_keeps_both_sides(spark):
+    left = spark.createDataFrame([("A", 1, 10), ("A", 1, 11), ("B", 1, 12), (None, 1, 13)], "k string, y int, a int")
+    right = spark.createDataFrame([("A", 1, "x"), ("A", 1, "z"), ("C", 2, "w"), (None, 1, "n")], "k string, y int, b string")
+    got = sorted(map(tuple, joins.full_outer_on(left, right, ["k", "y"]).collect()), key=str)
+    assert got == sorted(map(tuple, left.join(right, ["k", "y"], "full_outer").collect()), key=str)
+    assert len(got) == 4 + 2 + 2
 
 
 @pytest.mark.parametrize("span", [7, 1000])

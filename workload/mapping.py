@@ -11,6 +11,7 @@ from beatgrid.vocabulary import (
     COUNT_BAND_COLOURS,
     CYCLE_COLOURS,
     EQUAL_WIDTH_COLOURS,
+    FIXED_BAND_COLOURS,
     RATE_BAND_COLOURS,
 )
 from workload import views as v
@@ -207,8 +208,10 @@ ORACLES = {
                                        FROM dcounts GROUP BY district) ON district = name""",
             "stats": 'SELECT avg("count") AS mean, stddev_pop("count") AS sd FROM found'}),
     "classify_rate_fixed": with_views(
-        "shapes rates dcounts", f"SELECT *, {_bands('rate', '3.8', '6.7', '9.6', RATE_BAND_COLOURS)} FROM yearly",
-        _YEARLY),
+        # The limits are mean and deviation in double arithmetic: 6.7 - 2.9 is not exactly 3.8.
+        "shapes rates dcounts", "SELECT *, " + _bands(
+            "rate", "6.7::DOUBLE - 2.9::DOUBLE", "6.7::DOUBLE", "6.7::DOUBLE + 2.9::DOUBLE",
+            FIXED_BAND_COLOURS) + " FROM yearly", _YEARLY),
     "classify_equal_width": with_views("shapes rates dcounts", f"""
         SELECT *, CASE WHEN rate IS NULL THEN 'black' ELSE
                ({sql_list(EQUAL_WIDTH_COLOURS)})[1 + least(CAST(trunc(rate / 2.0 - 0.9) AS INTEGER), 7)]
