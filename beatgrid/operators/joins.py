@@ -20,21 +20,17 @@ def inner_on(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     return left.join(right, list(on), "inner")
 
 
-def full_outer_on(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Both sides kept: the matches, and the rows of each side without a match.
+def full_outer_on(many: DataFrame, one: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Both sides kept: matches, and the rows of each side without a match.
 
-    Spark cannot split a hot key of a full outer join, but it can split one of
-    an inner or anti join. Each side is shuffled once; the anti joins reuse that
-    shuffle and meet it with distinct keys.
+    Spark cannot split a hot key of a full outer join. As a left join from the
+    side whose keys may repeat, plus the rows of the other side whose key it
+    lacks, a hot key of ``many`` is split at run time. ``one`` is expected to
+    have about one row per key, as counts have; repeats there are still right.
     """
     keys = list(on)
-    matched = left.join(right, keys, "inner")
-    left_only = left.join(right.select(*keys).distinct(), keys, "left_anti")
-    right_only = right.join(left.select(*keys).distinct(), keys, "left_anti")
-    return (
-        matched.unionByName(left_only, allowMissingColumns=True)
-        .unionByName(right_only, allowMissingColumns=True)
-    )
+    unmatched = one.join(many.select(*keys).distinct(), keys, "left_anti")
+    return many.join(one, keys, "left").unionByName(unmatched, allowMissingColumns=True)
 
 
 def left_from_skeleton(skeleton: DataFrame, values: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -40,7 +40,7 @@ def inner_rate_crime(spark: SparkSession, sf: str) -> DataFrame:
 
 def full_outer_rate_crime(spark: SparkSession, sf: str) -> DataFrame:
     return joins.full_outer_on(
-        v.district_counts(spark, sf), v.rates_text(spark, sf), ["district", "year"])
+        v.rates_text(spark, sf), v.district_counts(spark, sf), ["district", "year"])
 
 
 def simple_regression(spark: SparkSession, sf: str) -> DataFrame:
