@@ -10,10 +10,11 @@ from pyspark.sql import types as T
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints; a local one only if unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        named = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        named = context.getCheckpointDir()
     return named.rstrip("/")
 
 

@@ -56,8 +56,8 @@ QUERIES = {
 
 _COLS = ", ".join(STREET_ANALYSIS)
 _REST = "longitude, latitude, area_code, area_name, crime_type, outcome"
-_LOCATED = "NOT (area_code = '' AND area_name = '' AND latitude = '' AND longitude = '')"
-_DEDUP = {
+LOCATED = "NOT (area_code = '' AND area_name = '' AND latitude = '' AND longitude = '')"
+DEDUP = {
     "own": f"SELECT DISTINCT {_COLS} FROM sized WHERE n_key = 1 OR crime_id = ''",
     "ranked": f"""SELECT *, row_number() OVER (PARTITION BY crime_id, month ORDER BY {_REST}) AS rn
                   FROM sized WHERE n_key >= 2 AND crime_id <> '' AND score = best""",
@@ -66,7 +66,7 @@ _DEDUP = {
 
 ORACLES = {
     "street_prune": with_views("st", "SELECT * FROM st"),
-    "street_locatable": with_views("st", f"SELECT * FROM st WHERE {_LOCATED}"),
+    "street_locatable": with_views("st", f"SELECT * FROM st WHERE {LOCATED}"),
     "completeness_score": with_views("scored", "SELECT * FROM scored"),
     "having_dup_keys": with_views("st", """
         SELECT crime_id, month, count(*) AS n FROM st GROUP BY crime_id, month
@@ -86,7 +86,7 @@ ORACLES = {
         SELECT {_COLS} FROM st
         QUALIFY row_number() OVER (PARTITION BY crime_id, month
             ORDER BY md5(concat_ws('|', '{SEED}', {_COLS})), {_REST}) = 1"""),
-    "street_dedup": with_views("sized", f"SELECT * FROM cleaned WHERE {_LOCATED}", _DEDUP),
+    "street_dedup": with_views("sized", f"SELECT * FROM cleaned WHERE {LOCATED}", DEDUP),
     "outcome_dedup": with_views("inc", """
         SELECT crime_id, month, longitude, latitude, area_code, area_name, outcome FROM graded
         QUALIFY row_number() OVER (PARTITION BY crime_id, month
@@ -104,5 +104,5 @@ ORACLES = {
                (SELECT count(*) FROM ranked) AS duplicated_best,
                (SELECT count(*) FROM ranked WHERE rn = 1) AS survivors,
                (SELECT count(*) FROM cleaned) AS recombined,
-               (SELECT count(*) FROM cleaned WHERE {_LOCATED}) AS locatable""", _DEDUP),
+               (SELECT count(*) FROM cleaned WHERE {LOCATED}) AS locatable""", DEDUP),
 }

@@ -155,7 +155,7 @@ ORACLES = {
     "full_outer_rate_crime": with_views("merged", "SELECT * FROM merged"),
     "regression_frame": with_views("frame", "SELECT * FROM frame"),
     "simple_regression": with_views("rates dcounts", """
-        SELECT regr_count(y, x) AS n, round(regr_slope(y, x), 6) + 0.0 AS slope,
+        SELECT CAST(regr_count(y, x) AS BIGINT) AS n, round(regr_slope(y, x), 6) + 0.0 AS slope,
                round(regr_intercept(y, x), 6) + 0.0 AS intercept, round(corr(y, x), 6) + 0.0 AS r,
                round(sqrt((regr_syy(y, x) - regr_slope(y, x) * regr_sxy(y, x))
                           / (regr_count(y, x) - 2) / regr_sxx(y, x)), 6) + 0.0 AS std_error

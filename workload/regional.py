@@ -1,14 +1,14 @@
 """Feature, roll-up and count queries."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from beatgrid.functions.text import year_of
 from beatgrid.operators import counts as c
 from beatgrid.operators import features, rollup
 from beatgrid.plans import regional as plan
+from beatgrid.plans.incidents import clean_street
 from beatgrid.vocabulary import CRIME_TYPES, OUTCOMES
 from workload import views as v
+from workload.cleaning import DEDUP, LOCATED
 from workload.view_sql import with_views
 
 CRIMES, STATES = v.PRIORITY_VOCABULARY, v.STATUS_VOCABULARY
@@ -45,7 +45,13 @@ def year_slice_counts(spark: SparkSession, sf: str) -> DataFrame:
     return c.counts_by_year(_dated(spark, sf), ["area_name"], v.YEARS[:5])
 
 
+def clean_counts_by_area(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw records to clean records to counts by small area and year."""
+    return c.count_by(c.with_year(clean_street(v.incidents(spark, sf))), ["area_name", "year"])
+
+
 QUERIES = {
+    "clean_counts_by_area": clean_counts_by_area,
     "crosswalk_dedup": lambda s, d: rollup.crosswalk_distinct(v.crosswalk(s, d)),
     "crosswalk_join": crosswalk_join,
     "crosswalk_misses": lambda s, d: rollup.missing_parents(_facts(s, d), count="n"),
@@ -128,6 +134,9 @@ def _count_sql(view: str, keys: str, where: str = "true") -> str:
 
 
 ORACLES = {
+    "clean_counts_by_area": with_views("sized", f"""
+        SELECT area_name, substr(month, 1, 4) AS year, count(*) AS "count"
+        FROM cleaned WHERE {LOCATED} GROUP BY ALL""", DEDUP),
     "crosswalk_dedup": with_views("xw", "SELECT * FROM xw"),
     "crosswalk_join": with_views("placed", """
         SELECT area_code, area_name, month, count(*) AS n, mid_code, mid_name AS mid_area,
