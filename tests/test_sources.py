@@ -168,3 +168,30 @@ def test_materialised_table_lives_in_the_named_folder(spark):
     df = staging.materialise(spark.range(3).select(F.col("id").alias("v")), "t")
     source = df.inputFiles()[0]
     assert staging.shared_folder(spark).removeprefix("file:") in source and "/beatgrid/t-" in source
+
+
+def test_shared_folder_prefers_the_setting(monkeypatch, tmp_path):
+    class Context:
+        folder = None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, path):
+            self.folder = path
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            value = None
+
+            @classmethod
+            def get(cls, key, default):
+                return cls.value or default
+
+    monkeypatch.setattr(staging.tempfile, "mkdtemp", lambda prefix: str(tmp_path / prefix))
+    own = staging.shared_folder(Session)
+    assert own == str(tmp_path / "run-") == staging.shared_folder(Session)
+    Session.conf.value = "hdfs://cluster/checkpoints/"
+    assert staging.scratch_path(Session, "x").startswith("hdfs://cluster/checkpoints/beatgrid/x-")

@@ -4,11 +4,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatgrid.operators.counts import count_by_area, with_year
-from beatgrid.operators.rollup import long_facts
+from beatgrid.operators.rollup import crosswalk_distinct, long_facts
 from beatgrid.sources.files import classify_files, validate_headers
-from beatgrid.sources.records import compact, kind_glob, read_records
+from beatgrid.sources.records import compact, kind_glob, read_crosswalk, read_records
 from beatgrid.sources.staging import export_csv, read_export, read_stage, scratch_path, write_stage
-from beatgrid.vocabulary import HEADERS
+from beatgrid.sources.tables import (
+    CLUSTER_SCHEMA,
+    DISTRICT_COUNT_SCHEMA,
+    SKELETON_SCHEMA,
+    clean_rate_table,
+    normalise_names,
+    read_table,
+    read_wide_text,
+)
+from beatgrid.vocabulary import CROSSWALK_HEADER, HEADERS
 from workload import views as v
 from workload.view_sql import with_views
 
@@ -60,6 +69,38 @@ def stage_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_stage(spark, path, facts.schema)
 
 
+def _csv(df: DataFrame, label: str) -> str:
+    path = scratch_path(df.sparkSession, label)
+    df.hint("rebalance").write.option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+def crosswalk_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per small area from a crosswalk file with one row per output area."""
+    path = _csv(v.crosswalk(spark, sf).toDF(*CROSSWALK_HEADER.split(",")), "crosswalk")
+    return crosswalk_distinct(read_crosswalk(spark, path))
+
+
+def rate_table_csv(spark: SparkSession, sf: str) -> DataFrame:
+    return clean_rate_table(read_wide_text(spark, _csv(v.rates_raw(spark, sf), "rates")))
+
+
+def rate_table_names(spark: SparkSession, sf: str) -> DataFrame:
+    return normalise_names(read_wide_text(spark, _csv(v.rates_raw(spark, sf), "rate-names")))
+
+
+def skeleton_csv(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, _csv(v.skeleton(spark, sf), "skeleton"), SKELETON_SCHEMA)
+
+
+def district_counts_csv(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, _csv(v.district_counts(spark, sf), "counts"), DISTRICT_COUNT_SCHEMA)
+
+
+def cluster_labels_csv(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, _csv(v.clusters(spark, sf), "clusters"), CLUSTER_SCHEMA)
+
+
 def export_counts_csv(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "export")
     counts = count_by_area(
@@ -81,6 +122,12 @@ QUERIES = {
     "validate_headers": validate_headers_query,
     "stage_roundtrip": stage_roundtrip,
     "export_counts_csv": export_counts_csv,
+    "crosswalk_csv": crosswalk_csv,
+    "rate_table_csv": rate_table_csv,
+    "rate_table_names": rate_table_names,
+    "skeleton_csv": skeleton_csv,
+    "district_counts_csv": district_counts_csv,
+    "cluster_labels_csv": cluster_labels_csv,
 }
 ORACLES = {
     "ingest_csv_roundtrip": with_views(
@@ -99,6 +146,17 @@ ORACLES = {
         FROM (SELECT DISTINCT month FROM inc WHERE month LIKE '1997%')"""),
     "stage_roundtrip": with_views("rec", """
         SELECT area_code, area_name, month, crime_type, outcome, count(*) AS n FROM rec GROUP BY ALL"""),
+    "crosswalk_csv": with_views("xw", "SELECT * FROM xw"),
+    "rate_table_csv": with_views("rates", "SELECT * FROM rates"),
+    "rate_table_names": with_views("rates_text", """
+        SELECT district AS "local_authority:_district_/_unitary_(prior_to_April_2015)",
+               CAST(year AS VARCHAR) AS "Date", rate AS "Unemployment_rate___aged_16_64",
+               population AS "Denominator", '0.5' AS "Conf___Unemployment_rate___aged_16_64",
+               '1' AS "Numerator___Unemployment_rate___aged_16_64"
+        FROM rates_text"""),
+    "skeleton_csv": with_views("skel", "SELECT * FROM skel"),
+    "district_counts_csv": with_views("dcounts", "SELECT * FROM dcounts"),
+    "cluster_labels_csv": with_views("clusters", "SELECT * FROM clusters"),
     "export_counts_csv": with_views("placed", """
         SELECT mid_code, mid_name, year, crime_type, count(*) AS "count" FROM placed GROUP BY ALL"""),
 }

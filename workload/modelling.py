@@ -43,6 +43,11 @@ def full_outer_rate_crime(spark: SparkSession, sf: str) -> DataFrame:
         v.rates_text(spark, sf), v.district_counts(spark, sf), ["district", "year"])
 
 
+def left_skeleton_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return joins.left_from_skeleton(
+        v.skeleton(spark, sf), full_outer_rate_crime(spark, sf), ["district", "year"])
+
+
 def simple_regression(spark: SparkSession, sf: str) -> DataFrame:
     rates = year_slice(_rates(spark, sf), [ONE_YEAR])
     counts = year_slice(v.district_counts(spark, sf), [ONE_YEAR]).select("district", "count")
@@ -83,6 +88,7 @@ QUERIES = {
         _rates(s, d), shapes_of(v.boundary(s, d)), "district", "name"),
     "inner_rate_crime": inner_rate_crime,
     "full_outer_rate_crime": full_outer_rate_crime,
+    "left_skeleton_rates": left_skeleton_rates,
     "regression_frame": _frame,
     "simple_regression": simple_regression,
     "ols_multi": ols_multi,
@@ -153,6 +159,7 @@ ORACLES = {
         SELECT r.*, c."count" FROM rates r JOIN dcounts c ON r.district = c.district
         WHERE c.year = {ONE_YEAR}"""),
     "full_outer_rate_crime": with_views("merged", "SELECT * FROM merged"),
+    "left_skeleton_rates": with_views("skel merged", "SELECT * FROM skel LEFT JOIN merged USING (district, year)"),
     "regression_frame": with_views("frame", "SELECT * FROM frame"),
     "simple_regression": with_views("rates dcounts", """
         SELECT CAST(regr_count(y, x) AS BIGINT) AS n, round(regr_slope(y, x), 6) + 0.0 AS slope,
