@@ -57,10 +57,15 @@ def score_range(df: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(score).alias("min_score"), F.max(score).alias("max_score"))
 
 
-def _matching(df: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose columns equal a row of ``other``; NULL equals NULL."""
+def _matching(df: DataFrame, other: DataFrame, columns: Sequence[str],
+              never_null: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose columns equal a row of ``other``. NULL equals NULL,
+    which costs an extra join key for every column that may hold one."""
     renamed = other.select(*[F.col(c).alias(f"_other_{i}") for i, c in enumerate(columns)])
-    condition = [F.col(c).eqNullSafe(F.col(f"_other_{i}")) for i, c in enumerate(columns)]
+    condition = [
+        F.col(c) == F.col(f"_other_{i}") if c in never_null else F.col(c).eqNullSafe(F.col(f"_other_{i}"))
+        for i, c in enumerate(columns)
+    ]
     return df.join(renamed, condition, "left_semi")
 
 
@@ -84,7 +89,7 @@ def unique_or_blank(df: DataFrame, keys: Sequence[str], blank_key: str) -> DataF
 def duplicated_rows(df: DataFrame, keys: Sequence[str], blank_key: str) -> DataFrame:
     """All rows of keys seen at least twice and not blank."""
     rows = df.filter(is_filled(blank_key))
-    return _matching(rows, duplicated_keys(rows, keys), keys)
+    return _matching(rows, duplicated_keys(rows, keys), keys, [blank_key])
 
 
 def keep_best(df: DataFrame, keys: Sequence[str], score: str = "score",
@@ -99,7 +104,7 @@ def keep_best(df: DataFrame, keys: Sequence[str], score: str = "score",
     best = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max(score).alias(score))
     if duplicated_only is not None:
         best = best.filter(F.col("n") >= 2)
-    return _matching(rows, best, [*keys, score])
+    return _matching(rows, best, [*keys, score], [score, duplicated_only])
 
 
 # --- de-duplication -----------------------------------------------------------

@@ -15,17 +15,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 ROWS_PER_RANGE = 500_000
-MAX_RANGES = 4096
+MIN_RANGES, MAX_RANGES = 8, 4096
 
 
 def _cut(df: DataFrame, column: str, rows_per_range: int) -> DataFrame:
     """Add ``_range``: an order-preserving range number."""
-    ranges = min(MAX_RANGES, math.ceil(max(df.count(), 1) / rows_per_range))
-    if ranges == 1:
-        return df.withColumn("_range", F.lit(0.0))
+    ranges = min(MAX_RANGES, max(MIN_RANGES, math.ceil(df.count() / rows_per_range)))
     probabilities = [i / ranges for i in range(1, ranges)]
     numeric = df.withColumn("_value", F.col(column).cast("double"))
     cuts = sorted(set(numeric.approxQuantile("_value", probabilities, 0.25 / ranges)))
+    if not cuts:  # no rows
+        return df.withColumn("_range", F.lit(0.0))
     splits = [-math.inf, *cuts, math.inf]
     cutter = Bucketizer(splits=splits, inputCol="_value", outputCol="_range")
     return cutter.transform(numeric).drop("_value")
