@@ -1,7 +1,7 @@
 """Joins of rates, counts and area names.
 
 No side is force-broadcast: which tables are small is not known here, so Spark
-decides by measured size, and splits skewed join partitions at run time.
+decides by measured size. Where it shuffles, hot keys are split at run time.
 """
 
 from collections.abc import Sequence
@@ -10,14 +10,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def join_reduced(df: DataFrame, reduced: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Join rows to a side that was reduced to about one row per key.
+
+    The reduced side is already partitioned by the keys. Spark would join in
+    that partitioning, and then cannot split a hot key of ``df``. Comparing the
+    first key NULL-safe makes it shuffle the reduced side once more, which lets
+    it split. NULL keys still match nothing, since ``reduced`` has none left.
+    """
+    names = {c: f"_on_{i}" for i, c in enumerate(on)}
+    other = reduced.filter(F.col(on[0]).isNotNull()).withColumnsRenamed(names)
+    condition = [F.col(on[0]).eqNullSafe(F.col("_on_0"))]
+    condition += [F.col(c) == F.col(names[c]) for c in on[1:]]
+    return df.join(other, condition, how).drop(*names.values())
+
+
 def semi_known(df: DataFrame, known: DataFrame, on: str, known_on: str | None = None) -> DataFrame:
     """Rows whose value of ``on`` is listed in ``known``."""
-    names = known.select(F.col(known_on or on).alias(on))
-    return df.join(names, on, "left_semi")
+    names = known.select(F.col(known_on or on).alias(on)).distinct()
+    return join_reduced(df, names, [on], "left_semi")
 
 
-def inner_on(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    return left.join(right, list(on), "inner")
+def inner_on(many: DataFrame, one: DataFrame, on: Sequence[str]) -> DataFrame:
+    return join_reduced(many, one, on, "inner")
 
 
 def full_outer_on(many: DataFrame, one: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -28,14 +43,14 @@ def full_outer_on(many: DataFrame, one: DataFrame, on: Sequence[str]) -> DataFra
     lacks, a hot key of ``many`` is split at run time. ``one`` is expected to
     have about one row per key, as counts have; repeats there are still right.
     """
-    keys = list(on)
-    unmatched = one.join(many.select(*keys).distinct(), keys, "left_anti")
-    return many.join(one, keys, "left").unionByName(unmatched, allowMissingColumns=True)
+    found = many.select(*on).distinct()
+    unmatched = join_reduced(one, found, on, "left_anti")
+    return join_reduced(many, one, on, "left").unionByName(unmatched, allowMissingColumns=True)
 
 
 def left_from_skeleton(skeleton: DataFrame, values: DataFrame, on: Sequence[str]) -> DataFrame:
     """The skeleton defines the rows; values are attached where present."""
-    return skeleton.join(values, list(on), "left")
+    return join_reduced(skeleton, values, on, "left")
 
 
 def first_rows(df: DataFrame, on: Sequence[str], columns: Sequence[str],
@@ -49,4 +64,4 @@ def first_rows(df: DataFrame, on: Sequence[str], columns: Sequence[str],
 def first_match(left: DataFrame, right: DataFrame, on: Sequence[str],
                 columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Left join to the first matching row; missing where there is none."""
-    return left.join(first_rows(right, on, columns, order_by), list(on), "left")
+    return join_reduced(left, first_rows(right, on, columns, order_by), on, "left")

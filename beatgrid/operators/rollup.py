@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from beatgrid.functions.labels import label_index
 from beatgrid.operators.clean import prune
+from beatgrid.operators.joins import join_reduced
 from beatgrid.schemas import CROSSWALK_GUARD, CROSSWALK_KEEP
 
 MATCH_ON = {"area_code": "small_code", "area_name": "small_name"}
@@ -65,7 +66,7 @@ def attach_parents(df: DataFrame, crosswalk: DataFrame, on: Mapping[str, str] =
         .agg(F.min(F.struct(*parents)).alias("_parents"))
         .select(*on, *[F.col("_parents")[p].alias(p) for p in parents])
     )
-    return df.join(unique, list(on), "left").select(*df.columns, *parents)
+    return join_reduced(df, unique, list(on), "left")
 
 
 def missing_parents(df: DataFrame, parent: str = PARENTS[0], count: str | None = None) -> DataFrame:

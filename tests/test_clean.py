@@ -165,27 +165,12 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
 
 
 @pytest.mark.parametrize("name", ["duplicated_rows", "keep_best"])
-def test_hot_key_join_is_split_at_run_time(spark, name):
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, value in settings.items():
-        spark.conf.set(k, value)
-    try:
-        rows = _hot(spark).repartition(6)
-        if name == "duplicated_rows":
-            out, expected = clean.duplicated_rows(rows, KEYS, "crime_id"), 20_000
-        else:
-            scored = clean.with_completeness(rows, STREET_ANALYSIS[:-1], "outcome")
-            out, expected = clean.keep_best(scored, KEYS, duplicated_only="crime_id"), 8_000
-        assert len(out.collect()) == expected
-        assert "skew=true" in _final_plan(out)
-    finally:
-        for k, value in before.items():
-            spark.conf.unset(k) if value is None else spark.conf.set(k, value)
+def test_hot_key_join_is_split_at_run_time(spark, small_skew, name):
+    rows = _hot(spark).repartition(6)
+    if name == "duplicated_rows":
+        out, expected = clean.duplicated_rows(rows, KEYS, "crime_id"), 20_000
+    else:
+        scored = clean.with_completeness(rows, STREET_ANALYSIS[:-1], "outcome")
+        out, expected = clean.keep_best(scored, KEYS, duplicated_only="crime_id"), 8_000
+    assert len(out.collect()) == expected
+    assert "skew=true" in _final_plan(out)
