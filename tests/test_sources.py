@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from beatgrid.operators.counts import with_year, year_slice
 from beatgrid.operators.rollup import crosswalk_distinct
 from beatgrid.sources import files, records, staging, tables
 from beatgrid.streaming.intake import compact_new_files, read_compacted
@@ -90,6 +91,19 @@ def test_compact_partitions_by_month(spark, root, tmp_path_factory):
     assert one.count() == 2
 
 
+def test_a_year_slice_reads_only_its_months(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("2014-12", "a"), ("2015-01", "b"), ("2015-02", "c"), ("2016-01", "d")], "month string, v string")
+    records.compact(df, str(tmp_path / "t"))
+    sliced = year_slice(with_year(staging.read_stage(spark, str(tmp_path / "t"), df.schema)), [2015])
+    assert sorted(r["v"] for r in sliced.collect()) == ["b", "c"]
+    read = sliced.select("v", F.input_file_name().alias("f")).collect()
+    assert {r["f"].split("month=")[1][:7] for r in read} == {"2015-01", "2015-02"}
+    text = sliced._jdf.queryExecution().executedPlan().toString()
+    scan = text[text.index("PartitionFilters"):]
+    assert "month" in scan[:scan.index("]")]
+
+
 def test_a_hot_folder_is_written_by_several_tasks(spark, tmp_path):
     before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
