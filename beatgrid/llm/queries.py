@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beatgrid.llm import mixing, sharding
+from beatgrid.llm import decontaminate, mixing, sharding, simhash_bk
 from beatgrid.llm.common import narrow, table
 
 
@@ -11,7 +11,9 @@ def _docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_benchmark_hits": lambda s, d: decontaminate.op5_benchmark_hits(_docs(s, d, "doc_id", "text"), table(s, d, "benchmark")),
     "op7_source_mix": lambda s, d: mixing.op7_source_mix(_docs(s, d, "doc_id", "text", "source")),
     "op8_rendezvous_shards": lambda s, d: sharding.op8_rendezvous_shards(_docs(s, d, "doc_id", "text")),
+    "op10_simhash_groups": lambda s, d: simhash_bk.op10_simhash_groups(_docs(s, d, "doc_id", "text")),
 }
 ORACLES: dict[str, str] = {}
