@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beatgrid.llm import decontaminate, mixing, sharding, simhash_bk
+from beatgrid.llm import decontaminate, langid_nb, mixing, quality_gbt, sharding, simhash_bk, token_histogram
 from beatgrid.llm.common import narrow, table
 
 
@@ -11,9 +11,21 @@ def _docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_histogram": lambda s, d: token_histogram.op2_token_histogram(_docs(s, d, "text")),
     "op5_benchmark_hits": lambda s, d: decontaminate.op5_benchmark_hits(_docs(s, d, "doc_id", "text"), table(s, d, "benchmark")),
+    "op6_quality_scores": lambda s, d: quality_gbt.op6_quality_scores(_docs(s, d, "doc_id", "text"), table(s, d, "labels")),
     "op7_source_mix": lambda s, d: mixing.op7_source_mix(_docs(s, d, "doc_id", "text", "source")),
     "op8_rendezvous_shards": lambda s, d: sharding.op8_rendezvous_shards(_docs(s, d, "doc_id", "text")),
+    "op9_languages": lambda s, d: langid_nb.op9_languages(_docs(s, d, "doc_id", "text", "lang")),
     "op10_simhash_groups": lambda s, d: simhash_bk.op10_simhash_groups(_docs(s, d, "doc_id", "text")),
 }
+
+
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = _pipeline
 ORACLES: dict[str, str] = {}
