@@ -2,7 +2,18 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beatgrid.llm import decontaminate, langid_nb, mixing, quality_gbt, sharding, simhash_bk, token_histogram
+from beatgrid.llm import (
+    adaptive_ann,
+    decontaminate,
+    langid_nb,
+    mixing,
+    quality_gbt,
+    sharding,
+    simhash_bk,
+    suffix_merge,
+    template_html,
+    token_histogram,
+)
 from beatgrid.llm.common import narrow, table
 
 
@@ -11,7 +22,10 @@ def _docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_adaptive_neighbours": lambda s, d: adaptive_ann.op1_adaptive_neighbours(table(s, d, "embeddings")),
     "op2_token_histogram": lambda s, d: token_histogram.op2_token_histogram(_docs(s, d, "text")),
+    "op3_site_text": lambda s, d: template_html.op3_site_text(table(s, d, "pages")),
+    "op4_repeated_bytes": lambda s, d: suffix_merge.op4_repeated_bytes(_docs(s, d, "doc_id", "text")),
     "op5_benchmark_hits": lambda s, d: decontaminate.op5_benchmark_hits(_docs(s, d, "doc_id", "text"), table(s, d, "benchmark")),
     "op6_quality_scores": lambda s, d: quality_gbt.op6_quality_scores(_docs(s, d, "doc_id", "text"), table(s, d, "labels")),
     "op7_source_mix": lambda s, d: mixing.op7_source_mix(_docs(s, d, "doc_id", "text", "source")),
