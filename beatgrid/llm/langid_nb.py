@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beatgrid.llm.common import is_held_out, map_batches
+from beatgrid.sources.staging import materialise
 
 ORDERS = 3
 BUCKET_BITS = 15
@@ -85,7 +86,8 @@ def learn(docs: DataFrame, text: str = "text", language: str = "lang", id_column
             at = np.flatnonzero(held)
             yield pa.RecordBatch.from_arrays([pa.array([name] * at.size, pa.string()), pa.array(at.astype(np.int32)), pa.array(held[at])], names=["l", "bucket", "n"])
 
-    sums = map_batches(known, work, "l string, bucket int, n long").groupBy("l", "bucket").agg(F.sum("n").alias("n"))
+    # Written once: the names and the counts both read it, and the corpus is counted only once.
+    sums = materialise(map_batches(known, work, "l string, bucket int, n long").groupBy("l", "bucket").agg(F.sum("n").alias("n")), "grams")
     names = sums.select("l").distinct().limit(MAX_LANGUAGES + 1).toArrow().column("l").to_pylist()
     if len(names) > MAX_LANGUAGES:
         raise ValueError(f"over {MAX_LANGUAGES} languages: the matrix would not be bounded")

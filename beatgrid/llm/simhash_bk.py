@@ -201,26 +201,29 @@ def link_shards(shards: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_id", radius: int = RADIUS,
                     limit: int = SHARD_LIMIT) -> DataFrame:
-    """All columns but the text in ``row``, with ``fingerprint`` and ``component_id``."""
+    """All columns but the text in ``row``, with ``fingerprint``, ``component`` (a fingerprint of it) and ``component_id``."""
     marked = materialise(fingerprints(docs, text), "fingerprints")
     distinct = materialise(marked.groupBy("fingerprint").agg(F.min(F.col("row").getField(id_column)).alias("first_id")), "distinct")
     groups = components(link_shards(sharded(distinct, radius, limit), radius))
     placed = distinct.join(groups, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("component"))
     names = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    placed = placed.join(names, "component").select("fingerprint", "component_id")
+    placed = placed.join(names, "component").select("fingerprint", "component", "component_id")
     return marked.join(placed, "fingerprint")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component: the one with the smallest id (without ids, the smallest text digest)."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce("text", F.lit("")))))
-    keyed = docs.select("doc_id", "text", key.alias("key"))
-    named = near_duplicates(keyed)
-    first = (named.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("own"))
-             .agg(F.min(F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id"), F.col("row.key"))).alias("first")))
-    kept = materialise(first.select(F.col("first.key").alias("__key")), "kept")
-    return docs.withColumn("__key", key).join(kept, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+    """One document of each component: the one with the smallest id, of those the smallest text digest.
+
+    Absent ids come last. Rows are told apart by id and text, so repeated rows count
+    once, and documents that share an id but not their text are judged one by one.
+    """
+    key = F.concat_ws(":", F.md5(F.coalesce("text", F.lit(""))), F.col("doc_id").cast("string"))
+    named = near_duplicates(docs.select("doc_id", "text", key.alias("key")))
+    first = named.groupBy("component").agg(F.min(F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id"), F.col("row.key"))).alias("first"))
+    kept = materialise(first.select(F.col("first.key").alias("key")), "kept")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
+    return rows.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
 
 
 def op10_simhash_groups(docs: DataFrame) -> DataFrame:
