@@ -72,7 +72,7 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEP
     """Logistic boosting on binned features."""
     mean = float(y.mean()) if y.size else 0.5
     inner, leaves = (1 << depth) - 1, 1 << depth
-    if not 0 < mean < 1:
+    if not y.size or not 0 < mean < 1:
         start = 0.0 if not y.size else np.copysign(20.0, mean - 0.5)
         return Trees(float(start), np.zeros((0, inner), np.int64), np.zeros((0, inner)), np.zeros((0, leaves)))
     cuts = [np.unique(np.quantile(column, np.arange(1, bins) / bins)) for column in x.T]
