@@ -4,7 +4,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -53,15 +52,11 @@ def export_csv(df: DataFrame, path: str) -> None:
     """CSV with a header and no index column.
 
     Rebalancing merges a small result into one file and leaves a large one in
-    several; nothing is forced through a single task.
+    several; nothing is forced through a single task. A quote inside a value is
+    doubled, as the table readers expect.
     """
-    df.hint("rebalance").write.mode("overwrite").option("header", True).csv(path)
+    df.hint("rebalance").write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
-
-
-def stage_counts(df: DataFrame, name: str) -> DataFrame:
-    """One row with the stage's name and size."""
-    return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
+    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)

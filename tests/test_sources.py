@@ -209,3 +209,11 @@ def test_shared_folder_prefers_the_setting(monkeypatch, tmp_path):
     assert own == str(tmp_path / "run-") == staging.shared_folder(Session)
     Session.conf.value = "hdfs://cluster/checkpoints/"
     assert staging.scratch_path(Session, "x").startswith("hdfs://cluster/checkpoints/beatgrid/x-")
+
+
+def test_export_keeps_quotes_and_commas(spark, tmp_path):
+    rows = [('a"b,c', 2011, 3), ("plain", 2012, 4), ('"', 2013, None)]
+    df = spark.createDataFrame(rows, "district string, year int, n long")
+    staging.export_csv(df, str(tmp_path / "out"))
+    assert sorted(map(tuple, staging.read_export(spark, str(tmp_path / "out"), df.schema).collect())) == sorted(rows)
+    assert any('"a""b,c",2011,3' in p.read_text() for p in (tmp_path / "out").glob("*.csv"))
