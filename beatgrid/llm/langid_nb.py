@@ -3,9 +3,11 @@
 Counts of all n-grams of all documents that may be learned from are summed per
 language and hash bucket: each task counts into arrays, and Spark adds the arrays'
 entries. The log-probability matrix has one row per bucket and one column per
-language; with at most ``MAX_LANGUAGES`` of them its size is bounded, and it is
-broadcast. A document becomes its distinct buckets and their counts, a batch of
-documents one sparse matrix, and the product gives all scores.
+language; with at most ``MAX_LANGUAGES`` of them its size is bounded (32 MB), and it
+is broadcast. Names become numbers before the counts are fetched, so the driver reads
+at most ``MAX_LANGUAGES`` times the buckets, 16 bytes each. A document becomes its
+distinct buckets and their counts, a batch of documents one sparse matrix, and the
+product gives all scores, ``CELLS`` matrix cells at a time.
 
 Defined cases: an absent text, or one without a letter, is ``und`` with score 0, as is
 every text if nothing could be learned from; documents with an absent language or an
@@ -27,9 +29,10 @@ from beatgrid.sources.staging import materialise
 ORDERS = 3
 BUCKET_BITS = 15
 SMOOTH = 0.5
-MAX_LANGUAGES = 1000
+MAX_LANGUAGES = 256
 PIECE = 1 << 20
 DOCS_AT_ONCE = 256
+CELLS = 1 << 22
 UNKNOWN = "und"
 
 
@@ -92,15 +95,22 @@ def learn(docs: DataFrame, text: str = "text", language: str = "lang", id_column
     if len(names) > MAX_LANGUAGES:
         raise ValueError(f"over {MAX_LANGUAGES} languages: the matrix would not be bounded")
     languages = sorted(names)
-    found = sums.toArrow()
     counts = np.zeros(((1 << BUCKET_BITS) + 1, len(languages)))
-    place = {name: i for i, name in enumerate(languages)}
-    counts[found.column("bucket").to_numpy(), [place[x] for x in found.column("l").to_pylist()]] = found.column("n").to_numpy()
+    if languages:
+        place = F.array_position(F.array(*[F.lit(name) for name in languages]), F.col("l")).cast("int") - 1
+        found = sums.select("bucket", place.alias("place"), "n").toArrow()
+        counts[found.column("bucket").to_numpy(), found.column("place").to_numpy()] = found.column("n").to_numpy()
     grams, documents = counts[:-1], counts[-1]
     log_p = np.log(grams + SMOOTH) - np.log(grams.sum(axis=0) + SMOOTH * (1 << BUCKET_BITS))
     return Model(languages, np.log(documents / max(documents.sum(), 1)), log_p.astype(np.float32))
 
 
+def products(buckets: list[np.ndarray], counts: list[np.ndarray], model: Model) -> np.ndarray:
+    """Rows of a sparse matrix times the log-probabilities."""
+    starts = np.cumsum([0, *(b.size for b in buckets[:-1])])
+    return np.add.reduceat(model.log_p[np.concatenate(buckets)] * np.concatenate(counts)[:, None], starts, axis=0)
+
+
 def best(texts: list[str | None], model: Model, letters: np.ndarray) -> tuple[list[str], np.ndarray]:
     """Likeliest language and its probability for each text, by one sparse product."""
     counted = [gram_counts(t, letters) if t else None for t in texts]
@@ -108,9 +118,10 @@ def best(texts: list[str | None], model: Model, letters: np.ndarray) -> tuple[li
     rows = [i for i, c in enumerate(counted) if c is not None]
     if rows and model.languages:
         at = [np.flatnonzero(counted[i]) for i in rows]
-        value = np.concatenate([counted[i][a] for i, a in zip(rows, at)]).astype(np.float64)
-        starts = np.cumsum([0, *(a.size for a in at[:-1])])
-        scores = np.add.reduceat(model.log_p[np.concatenate(at)] * value[:, None], starts, axis=0) + model.prior
+        value = [counted[i][a].astype(np.float64) for i, a in zip(rows, at)]
+        size = np.cumsum([a.size * len(model.languages) for a in at])
+        parts = np.split(np.arange(len(rows)), np.unique(np.searchsorted(size, np.arange(CELLS, size[-1], CELLS))))
+        scores = np.concatenate([products([at[i] for i in part], [value[i] for i in part], model) for part in parts if part.size]) + model.prior
         scores -= scores.max(axis=1, keepdims=True)
         top, p = scores.argmax(axis=1), 1 / np.exp(scores).sum(axis=1)
         for k, i in enumerate(rows):
