@@ -21,8 +21,13 @@ a string always meet at suffixes of one anchor, and with the bytes before the an
    longest common left l for each r; where l + r reaches the length, both are covered.
 
 Equal suffixes inside a run go on as one, so a passage that very many texts share
-reaches a part once for each run. Equal texts need no comparison: all of their windows
-start elsewhere, too.
+reaches a part once for each run. At its edges the bytes differ from text to text, and a
+part grows with the texts that share the passage. Parts of over ``HOT_SUFFIXES`` are
+therefore not merged in one task: their runs stay where they are, and each string of the
+full length around an anchor is counted by a 128-bit hash of its bytes and the anchor's
+place in it, with partial sums before the shuffle. Equal strings have equal anchors in
+equal places, hence equal parts, so this loses nothing and counts no string twice.
+Equal texts need no comparison: all of their windows start elsewhere, too.
 
 Defined cases: an absent text counts as empty; texts below the length lose nothing;
 matches never cross texts, but a text may repeat itself, also with overlaps; an empty
@@ -47,6 +52,7 @@ from beatgrid.sources.staging import materialise
 
 LENGTH, GRAM = 400, 16
 PIECE_BYTES, RUN_BYTES, PART_SUFFIXES = 4 << 20, 24 << 20, 20_000
+HOT_SUFFIXES, WINDOWS_AT_ONCE = 100_000, 50_000
 RIGHT, LEFT = 1, 2
 Suffix = tuple[bytes, bytes, bytes, int]
 
@@ -270,15 +276,15 @@ def covered_in_order(merged: Iterable[tuple[int, Suffix]], length: int) -> Itera
 
 
 def write_runs(texts: DataFrame, length: int, parts: int) -> DataFrame:
-    """Front-coded runs ``(part, run)``, and ``(part, text, start, stop)`` of what a run itself repeats."""
-    schema = pa.schema([("part", pa.int32()), ("run", pa.binary()), ("text", pa.binary()), ("start", pa.int32()), ("stop", pa.int32())])
+    """Front-coded runs ``(part, run, n)`` of n suffixes, and ``(part, text, start, stop)`` of what a run itself repeats."""
+    schema = pa.schema([("part", pa.int32()), ("run", pa.binary()), ("n", pa.int32()), ("text", pa.binary()), ("start", pa.int32()), ("stop", pa.int32())])
 
     def flush(suffixes: list[tuple[int, bytes, bytes, bytes, int]]) -> pa.RecordBatch:
         suffixes.sort()
         blobs, spans, run, part = [], [], [], None
         for i, (own, right, left, text, position) in enumerate(suffixes):
             if own != part and run:
-                blobs.append((part, encode_run(run)))
+                blobs.append((part, encode_run(run), len(run)))
                 run = []
             part = own
             same_before = bool(run) and run[-1][0] == right and run[-1][1] == left
@@ -288,9 +294,9 @@ def write_runs(texts: DataFrame, length: int, parts: int) -> DataFrame:
             if not same_before:
                 run.append((right, left, text, position))
         if run:
-            blobs.append((part, encode_run(run)))
-        rows = [(p, b, None, None, None) for p, b in blobs] + [(p, None, *s) for p, *s in spans]
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], schema.types[k]) for k in range(5)], schema=schema)
+            blobs.append((part, encode_run(run), len(run)))
+        rows = [(*b, None, None, None) for b in blobs] + [(p, None, None, *s) for p, *s in spans]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], schema.types[k]) for k in range(6)], schema=schema)
 
     def work(batches):
         held, size, seen = [], 0, set()
@@ -311,7 +317,7 @@ def write_runs(texts: DataFrame, length: int, parts: int) -> DataFrame:
         if held:
             yield flush(held)
 
-    return map_batches(texts, work, "part int, run binary, text binary, start int, stop int")
+    return map_batches(texts, work, "part int, run binary, n int, text binary, start int, stop int")
 
 
 def merge_parts(runs: DataFrame, length: int) -> DataFrame:
@@ -348,6 +354,39 @@ def merge_parts(runs: DataFrame, length: int) -> DataFrame:
     return map_batches(dealt, work, "text binary, start int, stop int")
 
 
+def count_windows(runs: DataFrame, length: int) -> DataFrame:
+    """The same from any runs, by counting every string of that length around their suffixes; no part is gathered."""
+    def work(batches):
+        for batch in batches:
+            names, starts, digests = [], [], []
+            for blob in batch.column(0):
+                for _, (right, left, text, position) in decode_run(blob.as_py()):
+                    near = left[::-1] + right
+                    for i in range(min(len(left), len(near) - length) + 1):
+                        names.append(text)
+                        starts.append(position - len(left) + i)
+                        digests.append(xxhash.xxh3_128_digest(near[i:i + length], len(left) - i))
+                    if len(names) > WINDOWS_AT_ONCE:
+                        yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(starts, pa.int32()), pa.array(digests, pa.binary())], names=["text", "start", "digest"])
+                        names, starts, digests = [], [], []
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(starts, pa.int32()), pa.array(digests, pa.binary())], names=["text", "start", "digest"])
+
+    windows = materialise(map_batches(runs.select("run"), work, "text binary, start int, digest binary"), "windows")
+    again = materialise(windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("digest"), "again")
+    return windows.join(again, "digest", "left_semi").select("text", "start", (F.col("start") + length).alias("stop"))
+
+
+def repeated_around(runs: DataFrame, length: int, hot: int) -> DataFrame:
+    """``(text, start, stop)`` from all runs: parts of up to ``hot`` suffixes are merged, larger ones counted."""
+    runs = materialise(runs, "runs")
+    large = materialise(runs.groupBy("part").agg(F.sum("n").alias("n")).filter(F.col("n") > hot).select("part"), "large")
+    if large.isEmpty():
+        return merge_parts(runs.drop("n"), length)
+    rest = runs.filter(F.col("run").isNull()).unionByName(runs.filter(F.col("run").isNotNull()).join(large, "part", "left_anti"))
+    counted = count_windows(runs.filter(F.col("run").isNotNull()).join(large, "part", "left_semi"), length)
+    return merge_parts(rest.drop("n"), length).unionByName(counted)
+
+
 def united(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     """Half-open spans, merged where they touch or overlap."""
     merged: list[tuple[int, int]] = []
@@ -359,7 +398,8 @@ def united(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return merged
 
 
-def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, part_suffixes: int = PART_SUFFIXES) -> DataFrame:
+def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, part_suffixes: int = PART_SUFFIXES,
+                   hot_suffixes: int = HOT_SUFFIXES) -> DataFrame:
     """``(text_id, spans)`` of the distinct texts that share a part of themselves; ``text_id`` is the text's MD5.
 
     Texts that occur more than once are left out, unless they also share a part with
@@ -374,17 +414,17 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, pa
     suffixes = chosen.agg(F.sum(F.size("places"))).first()[0] or 0
     parts = max(1, math.ceil(suffixes / part_suffixes))
     texts = long.join(chosen, "text_hash").select("text_id", "text", "places")
-    found = merge_parts(write_runs(texts, length, parts), length)
+    found = repeated_around(write_runs(texts, length, parts), length, hot_suffixes)
     return found.groupBy(F.lower(F.hex("text")).alias("text_id")).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, hot_suffixes: int = HOT_SUFFIXES) -> DataFrame:
     """All columns but the text packed in ``row``, with byte counts, removed runs and the digest of what is left."""
     empty = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
     rest = [c for c in docs.columns if c != text]
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.md5(empty).alias("text_id"), empty.alias("text"))
     copied = materialise(named.groupBy("text_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("text_id", F.lit(True).alias("copied")), "copied")
-    spans = materialise(repeated_spans(docs.select(text), text, length).join(copied, "text_id", "left_anti"), "spans")
+    spans = materialise(repeated_spans(docs.select(text), text, length, hot_suffixes=hot_suffixes).join(copied, "text_id", "left_anti"), "spans")
     cut = named.select("text_id", "text").join(spans, "text_id").select("text_id", "text", "spans")
 
     def work(batches):

@@ -91,8 +91,8 @@ def test_site_templates_go(spark):
     assert collected(template_html.op3_site_text(spark.createDataFrame([], "page_id long, url string, html string"))) == []
 
 
-@pytest.mark.parametrize("length", [20, 41])
-def test_repeated_bytes(spark, length):
+@pytest.mark.parametrize("length, hot", [(20, 100_000), (41, 100_000), (20, 3), (41, 0)])
+def test_repeated_bytes(spark, length, hot):
     rng = random.Random(length)
     shared = ["".join(rng.choices("abcd é", k=90)) for _ in range(3)]
     texts = ["".join(rng.choices("abcdefgh ", k=rng.randint(0, 120))) + rng.choice(shared)[rng.randint(0, 30):] + "".join(rng.choices("xyz", k=9)) for _ in range(40)]
@@ -104,7 +104,7 @@ def test_repeated_bytes(spark, length):
         gone = {j for k in range(len(t) - length + 1) if starts[t[k:k + length]] > 1 for j in range(k, k + length)}
         kept = bytes(b for j, b in enumerate(t) if j not in gone)
         expected.append((i, len(t), len(gone), sum(j - 1 not in gone for j in gone), hashlib.sha256(kept).hexdigest()))
-    found = suffix_merge.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), length=length)
+    found = suffix_merge.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), length=length, hot_suffixes=hot)
     assert sorted((r["row"]["doc_id"], r["n_bytes"], r["n_removed"], len(r["removed_runs"]), r["kept_sha256"]) for r in found.collect()) == expected
 
 
