@@ -22,12 +22,15 @@ def by_mean_sd(value: Column, mean: Column, sd: Column, colours, factor: float =
 
 def by_equal_width(value: Column, colours, width: float, offset: float,
                    missing: str = MISSING_COLOUR) -> Column:
-    """Truncated ``value / width - offset``, capped at the last colour."""
+    """Truncated ``value / width - offset``, capped at the last colour.
+
+    A slot further below zero than there are colours is missing.
+    """
     slot = F.least((value / width - F.lit(offset)).try_cast("int"), F.lit(len(colours) - 1))
     palette = F.array(*[F.lit(c) for c in colours])
     # A negative index counts from the end of the palette.
     at = F.when(slot < 0, slot).otherwise(slot + 1)
-    return F.when(value.isNull() | F.isnan(value), missing).otherwise(F.element_at(palette, at))
+    return F.when(value.isNull() | F.isnan(value), missing).otherwise(F.coalesce(F.try_element_at(palette, at), F.lit(missing)))
 
 
 def by_category(value: Column, colours, other: str = MISSING_COLOUR,

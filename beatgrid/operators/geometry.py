@@ -14,14 +14,15 @@ PIECE_SPAN = 100_000
 def assemble_rings(vertices: DataFrame, piece_span: int = PIECE_SPAN) -> DataFrame:
     """Vertices ``(shape_id, name, seq, lat, lon)`` to ordered arrays.
 
-    A row holds the vertices of one run of ``piece_span`` sequence numbers, so
-    its arrays have a bounded length; every usual boundary is a single piece 0.
-    Pieces in order, end to end, are the whole ring.
+    A row holds the vertices of one run of ``piece_span`` sequence numbers, counted
+    from the shape's smallest, so its arrays have a bounded length. Rows are always
+    keyed by shape and piece; pieces in order, end to end, are the whole ring.
     """
-    piece = F.floor(F.col("seq") / F.lit(piece_span)).cast("bigint")
+    starts = vertices.groupBy("shape_id").agg(F.min("seq").alias("_start"))
+    piece = F.floor((F.col("seq") - F.col("_start")) / F.lit(piece_span)).cast("bigint")
     first = F.struct("seq", "lat", "lon")
     return (
-        vertices.groupBy("shape_id", "name", piece.alias("piece"))
+        vertices.join(starts, "shape_id").groupBy("shape_id", "name", piece.alias("piece"))
         .agg(F.array_sort(F.collect_list(first)).alias("_ring"))
         .select(
             "shape_id", "name", "piece",
@@ -40,8 +41,8 @@ def rings_from_grid(vertices: DataFrame, piece_span: int = PIECE_SPAN) -> DataFr
 def flatten_rings(rings: DataFrame) -> DataFrame:
     """Back to one row per vertex."""
     points = F.explode(F.arrays_zip("seqs", "lats", "longs")).alias("_p")
-    return rings.select("shape_id", "name", points).select(
-        "shape_id", "name",
+    return rings.select("shape_id", "name", "piece", points).select(
+        "shape_id", "name", "piece",
         F.col("_p")["seqs"].alias("seq"),
         F.col("_p")["lats"].alias("lat"),
         F.col("_p")["longs"].alias("lon"),

@@ -270,13 +270,17 @@ def pairwise_corr(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def cluster(df: DataFrame, columns: Sequence[str], k: int = 5, seed: int = 7,
             name: str = "cluster") -> DataFrame:
-    """Groups 1..k on standardised columns; rows with a missing value get none."""
+    """Groups 1..k on standardised columns; rows with a missing value stay, with no group."""
     frame = materialise(df, "cluster-frame")
+    whole = F.lit(True)
+    for c in columns:
+        whole &= F.col(c).isNotNull() & ~F.isnan(c)
     assembled = VectorAssembler(
-        inputCols=list(columns), outputCol="_raw", handleInvalid="skip"
-    ).transform(frame)
+        inputCols=list(columns), outputCol="_raw"
+    ).transform(frame.filter(whole))
     scaled = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True).fit(
         assembled
     ).transform(assembled)
     model = KMeans(k=k, seed=seed, featuresCol="_scaled", predictionCol="_group").fit(scaled)
-    return model.transform(scaled).select(*df.columns, (F.col("_group") + 1).alias(name))
+    grouped = model.transform(scaled).select(*df.columns, (F.col("_group") + 1).alias(name))
+    return grouped.unionByName(frame.filter(~whole).withColumn(name, F.lit(None).cast("int")))

@@ -4,7 +4,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
-from beatgrid.operators.geometry import rings_from_grid, shapes_of
+from beatgrid.operators.geometry import PIECE_SPAN, rings_from_grid, shapes_of
 from beatgrid.operators.joins import first_match
 from beatgrid.operators.layers import (
     classify_by_mean_sd,
@@ -16,11 +16,11 @@ from beatgrid.operators.layers import (
 
 
 def yearly_values(vertices: DataFrame, rates: DataFrame, counts: DataFrame,
-                  years: Sequence[int]) -> DataFrame:
-    """Rate and count per shape and year; missing where a district has none."""
+                  years: Sequence[int], order_by: Sequence[str] = ()) -> DataFrame:
+    """Rate and count per shape and year, the first by ``order_by``; missing where a district has none."""
     shapes = over_years(shapes_of(vertices), years)
     as_name = lambda df: df.withColumnRenamed("district", "name")
-    return named_values(shapes, as_name(rates), as_name(counts), ["name", "year"])
+    return named_values(shapes, as_name(rates), as_name(counts), ["name", "year"], order_by=order_by)
 
 
 def classify_pooled(values: DataFrame) -> DataFrame:
@@ -28,10 +28,11 @@ def classify_pooled(values: DataFrame) -> DataFrame:
 
 
 def yearly_layer(vertices: DataFrame, rates: DataFrame, counts: DataFrame, years: Sequence[int],
-                 classify: Callable[[DataFrame], DataFrame] = classify_pooled) -> DataFrame:
-    """One table for all years: shape, ring, colour, rate, count."""
-    values = classify(yearly_values(vertices, rates, counts, years))
-    return map_layer(rings_from_grid(vertices), values)
+                 classify: Callable[[DataFrame], DataFrame] = classify_pooled,
+                 order_by: Sequence[str] = (), piece_span: int = PIECE_SPAN) -> DataFrame:
+    """One table for all years: shape, ring piece, colour, rate, count."""
+    values = classify(yearly_values(vertices, rates, counts, years, order_by))
+    return map_layer(rings_from_grid(vertices, piece_span), values)
 
 
 def cluster_values(vertices: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -42,5 +43,5 @@ def cluster_values(vertices: DataFrame, clusters: DataFrame) -> DataFrame:
     return classify_clusters(labelled)
 
 
-def cluster_layer(vertices: DataFrame, clusters: DataFrame) -> DataFrame:
-    return map_layer(rings_from_grid(vertices), cluster_values(vertices, clusters))
+def cluster_layer(vertices: DataFrame, clusters: DataFrame, piece_span: int = PIECE_SPAN) -> DataFrame:
+    return map_layer(rings_from_grid(vertices, piece_span), cluster_values(vertices, clusters))

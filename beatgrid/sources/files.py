@@ -22,12 +22,12 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame
 
 
 def kind_of(path: Column, kinds=tuple(HEADERS)) -> Column:
-    """Record kind by name suffix before ``.csv``.
+    """Record kind by the file name's suffix before ``.csv``.
 
-    Spark writes a CSV "file" as a folder of parts, so the suffix may also end
-    a folder of the path; the last one counts.
+    Spark writes a CSV "file" as a folder of parts, so for a part file the name
+    of its folder counts, above any partition folders.
     """
-    pattern = ".*(" + "|".join(kinds) + r")\.csv(?:/.*)?$"
+    pattern = ".*(" + "|".join(kinds) + r")\.csv(?:(?:/[^/=]+=[^/]*)*/part-[^/]*)?$"
     found = F.regexp_extract(path, pattern, 1)
     return F.when(found == "", UNIDENTIFIED).otherwise(found)
 

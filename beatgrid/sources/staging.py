@@ -8,10 +8,16 @@ from pyspark.sql import types as T
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a local one only if unset."""
+    """The folder the cluster names for checkpoints.
+
+    Without one, a session on one machine gets a temporary folder; on a cluster it
+    is an error, as executors would not share that folder.
+    """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
         named = context.getCheckpointDir()
     return named.rstrip("/")

@@ -34,6 +34,19 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     )
 
 
+def read_named(spark: SparkSession, path: str, columns: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Columns by their header, as ``{header: (name, type)}``, in any order and among any others.
+
+    An index column without a header is ignored; an absent header is an error; text that
+    is not of the type becomes missing.
+    """
+    text = read_wide_text(spark, path)
+    absent = [header for header in columns if header not in text.columns]
+    if absent:
+        raise ValueError(f"{path} lacks the columns {absent}")
+    return text.select(*[quoted(header).try_cast(kind).alias(name) for header, (name, kind) in columns.items()])
+
+
 def read_wide_text(spark: SparkSession, path: str) -> DataFrame:
     """A CSV whose long headers are the column names; everything is text."""
     return (

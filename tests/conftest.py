@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -14,6 +15,7 @@ def spark():
     builder = (
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tests-"))
     )
     session = tuned(builder, shuffle_partitions=8).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -15,7 +15,8 @@ def duck():
 
 
 def test_only_iterative_queries_lack_an_oracle():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
+    own = {name for name, query in queries().items() if not query.__module__.startswith("beatgrid.llm")}
+    assert own - set(oracle_sql()) == ROWS_ONLY
     assert set(oracle_sql()) <= set(queries())
 
 

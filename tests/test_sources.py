@@ -186,7 +186,7 @@ def test_materialised_table_lives_in_the_named_folder(spark):
 
 def test_shared_folder_prefers_the_setting(monkeypatch, tmp_path):
     class Context:
-        folder = None
+        folder, master = None, "local[1]"
 
         def getCheckpointDir(self):
             return self.folder
@@ -207,6 +207,9 @@ def test_shared_folder_prefers_the_setting(monkeypatch, tmp_path):
     monkeypatch.setattr(staging.tempfile, "mkdtemp", lambda prefix: str(tmp_path / prefix))
     own = staging.shared_folder(Session)
     assert own == str(tmp_path / "run-") == staging.shared_folder(Session)
+    Context.folder, Session.sparkContext.folder, Context.master = None, None, "spark://cluster"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_folder(Session)
     Session.conf.value = "hdfs://cluster/checkpoints/"
     assert staging.scratch_path(Session, "x").startswith("hdfs://cluster/checkpoints/beatgrid/x-")
 

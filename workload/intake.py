@@ -9,11 +9,10 @@ from beatgrid.sources.files import classify_files, validate_headers
 from beatgrid.sources.records import compact, kind_glob, read_crosswalk, read_records
 from beatgrid.sources.staging import export_csv, read_export, read_stage, scratch_path, write_stage
 from beatgrid.sources.tables import (
-    CLUSTER_SCHEMA,
-    DISTRICT_COUNT_SCHEMA,
     SKELETON_SCHEMA,
     clean_rate_table,
     normalise_names,
+    read_named,
     read_table,
     read_wide_text,
 )
@@ -94,11 +93,20 @@ def skeleton_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def district_counts_csv(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, _csv(v.district_counts(spark, sf), "counts"), DISTRICT_COUNT_SCHEMA)
+    """By header: an index column ahead, the wanted columns in another order."""
+    written = v.district_counts(spark, sf).select(
+        F.col("year").alias("index"), F.col("count").alias("n"), F.col("year").alias("Year"), F.col("district").alias("LAD_name"))
+    wanted = {"LAD_name": ("district", "string"), "Year": ("year", "int"), "n": ("count", "bigint")}
+    return read_named(spark, _csv(written, "counts"), wanted)
 
 
 def cluster_labels_csv(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, _csv(v.clusters(spark, sf), "clusters"), CLUSTER_SCHEMA)
+    """Four of six columns, by header; names hold quotes and commas."""
+    written = v.clusters(spark, sf).select(
+        F.col("crime").alias("id"), F.concat(F.lit('"Area", '), "district").alias("lad"), F.lit(1).alias("pop"),
+        F.col("rate").alias("unemp"), F.col("crime").alias("crim"), F.col("cluster").alias("complete5.cut"))
+    wanted = {"lad": ("district", "string"), "unemp": ("rate", "double"), "crim": ("crime", "double"), "complete5.cut": ("cluster", "int")}
+    return read_named(spark, _csv(written, "clusters"), wanted)
 
 
 def export_counts_csv(spark: SparkSession, sf: str) -> DataFrame:
@@ -156,7 +164,8 @@ ORACLES = {
         FROM rates_text"""),
     "skeleton_csv": with_views("skel", "SELECT * FROM skel"),
     "district_counts_csv": with_views("dcounts", "SELECT * FROM dcounts"),
-    "cluster_labels_csv": with_views("clusters", "SELECT * FROM clusters"),
+    "cluster_labels_csv": with_views("clusters", """
+        SELECT '"Area", ' || district AS district, rate, crime, cluster FROM clusters"""),
     "export_counts_csv": with_views("placed", """
         SELECT mid_code, mid_name, year, crime_type, count(*) AS "count" FROM placed GROUP BY ALL"""),
 }

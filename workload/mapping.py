@@ -17,7 +17,9 @@ from beatgrid.vocabulary import (
 from workload import views as v
 from workload.view_sql import sql_list, with_views
 
-YEARS = v.YEARS[:5]
+YEARS = v.YEARS
+#: Short, so that every shape of eight vertices crosses it.
+PIECE_SPAN = 5
 
 
 def _degrees(df: DataFrame) -> DataFrame:
@@ -39,7 +41,7 @@ def reproject_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def polygon_assemble(spark: SparkSession, sf: str) -> DataFrame:
-    rings = geometry.rings_from_grid(v.boundary(spark, sf))
+    rings = geometry.rings_from_grid(v.boundary(spark, sf), PIECE_SPAN)
     return _degrees(geometry.flatten_rings(rings))
 
 
@@ -66,7 +68,7 @@ def classify_crime_half_sd(spark: SparkSession, sf: str) -> DataFrame:
 def _summed_up(layer: DataFrame, *columns: str) -> DataFrame:
     """Ring arrays as their size and first vertex, for flat comparison."""
     return layer.select(
-        "shape_id", "name", *columns,
+        "shape_id", "name", "piece", *columns,
         F.size("lats").alias("points"),
         F.round(F.col("lats")[0], 6).alias("first_lat"),
         F.round(F.col("longs")[0], 6).alias("first_lon"),
@@ -75,12 +77,13 @@ def _summed_up(layer: DataFrame, *columns: str) -> DataFrame:
 
 def map_layer_by_year(spark: SparkSession, sf: str) -> DataFrame:
     layer = plan.yearly_layer(
-        v.boundary(spark, sf), _rates(spark, sf), v.district_counts(spark, sf), YEARS)
+        v.boundary(spark, sf), _rates(spark, sf), v.district_counts(spark, sf), YEARS,
+        piece_span=PIECE_SPAN)
     return _summed_up(layer, "year", "color", "rate", "count")
 
 
 def map_layer_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    layer = plan.cluster_layer(v.boundary(spark, sf), v.clusters(spark, sf))
+    layer = plan.cluster_layer(v.boundary(spark, sf), v.clusters(spark, sf), PIECE_SPAN)
     return _summed_up(layer, "color", "rate", "crime", "cluster")
 
 
@@ -173,16 +176,19 @@ def _bands(value: str, low: str, mid: str, high: str, colours) -> str:
 
 _POOLED_COLOUR = _bands("rate", "mean - sd", "mean", "mean + sd", RATE_BAND_COLOURS)
 _RING = {
+    "pieces": f"""
+        SELECT *, CAST((seq - min(seq) OVER (PARTITION BY shape_id)) // {PIECE_SPAN} AS BIGINT) AS piece
+        FROM located""",
     "ringed": """
-        SELECT shape_id, CAST(count(*) AS INTEGER) AS points, arg_min(lat, seq) AS first_lat,
+        SELECT shape_id, piece, CAST(count(*) AS INTEGER) AS points, arg_min(lat, seq) AS first_lat,
                arg_min(lon, seq) AS first_lon
-        FROM located GROUP BY shape_id"""}
+        FROM pieces GROUP BY shape_id, piece"""}
 _LABELLED = " ".join(
     f"WHEN cluster = {i} THEN '{c}'" for i, c in enumerate(COUNT_BAND_COLOURS, start=1))
 
 ORACLES = {
     "reproject_grid": with_views("boundary", "SELECT shape_id, seq, lat, lon FROM located", _grid_steps()),
-    "polygon_assemble": with_views("boundary", "SELECT * FROM located", _grid_steps()),
+    "polygon_assemble": with_views("boundary", "SELECT * FROM pieces", {**_grid_steps(), "pieces": _RING["pieces"]}),
     "map_layer_cycle": with_views("shapes", f"""
         SELECT shape_id, name, row_number() OVER (ORDER BY shape_id) - 1 AS position,
                ({sql_list(CYCLE_COLOURS)})[1 + (row_number() OVER (ORDER BY shape_id) - 1) % 6] AS color,
@@ -218,10 +224,10 @@ ORACLES = {
                END AS color
         FROM yearly""", _YEARLY),
     "map_layer_by_year": with_views("shapes rates dcounts", f"""
-        SELECT y.shape_id, y.name, year, {_POOLED_COLOUR}, rate, "count", points, first_lat, first_lon
+        SELECT y.shape_id, y.name, piece, year, {_POOLED_COLOUR}, rate, "count", points, first_lat, first_lon
         FROM yearly y JOIN ringed USING (shape_id), pooled""", {**_YEARLY, **_grid_steps(), **_RING}),
     "map_layer_clusters": with_views("shapes clusters", f"""
-        SELECT s.shape_id, s.name, CASE WHEN cluster IS NULL THEN 'white' {_LABELLED} ELSE 'black' END AS color,
+        SELECT s.shape_id, s.name, piece, CASE WHEN cluster IS NULL THEN 'white' {_LABELLED} ELSE 'black' END AS color,
                rate, crime, cluster, points, first_lat, first_lon
         FROM shapes s LEFT JOIN clusters c ON c.district = s.name JOIN ringed r ON r.shape_id = s.shape_id""",
         {**_grid_steps(), **_RING}),

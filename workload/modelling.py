@@ -51,7 +51,7 @@ def left_skeleton_rates(spark: SparkSession, sf: str) -> DataFrame:
 def simple_regression(spark: SparkSession, sf: str) -> DataFrame:
     rates = year_slice(_rates(spark, sf), [ONE_YEAR])
     counts = year_slice(v.district_counts(spark, sf), [ONE_YEAR]).select("district", "count")
-    merged = joins.inner_on(rates, counts, ["district"]).dropna()
+    merged = joins.inner_on(rates, counts, ["district"]).dropna(subset=["rate", "count"])
     return _rounded(regression.simple_regression(merged, "rate", "count"), 6, "n")
 
 
@@ -169,7 +169,7 @@ ORACLES = {
         FROM pairs""", {"pairs": f"""
             SELECT r.rate AS x, CAST(c."count" AS DOUBLE) AS y
             FROM rates r JOIN dcounts c ON r.district = c.district AND r.year = c.year
-            WHERE r.year = {ONE_YEAR} AND r.rate IS NOT NULL AND r.population IS NOT NULL"""}),
+            WHERE r.year = {ONE_YEAR} AND r.rate IS NOT NULL"""}),
     "ols_multi": with_views("frame", """
         SELECT 'intercept' AS term, round(a0, 6) + 0.0 AS estimate FROM base
         UNION ALL SELECT 'year_' || CAST(year AS VARCHAR), round(a - a0, 6) + 0.0 FROM effects, base

@@ -42,7 +42,7 @@ def crosswalk_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def year_slice_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return c.counts_by_year(_dated(spark, sf), ["area_name"], v.YEARS[:5])
+    return c.counts_by_year(_dated(spark, sf), ["area_name"], v.YEARS)
 
 
 def clean_counts_by_area(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,7 +154,7 @@ ORACLES = {
         for a, s in CRIMES.items() for b, t in STATES.items()) + " FROM rec"),
     "year_from_month": with_views("rec", "SELECT area_code, month, substr(month, 1, 4) AS year FROM rec"),
     "year_slice_counts": with_views("rec", "SELECT area_name, " + ", ".join(
-        f"count(*) FILTER (WHERE year = '{y}') AS count_{y}" for y in v.YEARS[:5]
+        f"count(*) FILTER (WHERE year = '{y}') AS count_{y}" for y in v.YEARS
     ) + " FROM rec GROUP BY area_name"),
     "vocab_crime": _vocab_sql("crime_type", CRIME_TYPES),
     "vocab_outcome": _vocab_sql("outcome", OUTCOMES),

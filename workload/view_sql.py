@@ -50,13 +50,14 @@ VIEWS = {
         FROM lineitem""",
     "xwalk": """
         SELECT CAST(c_custkey AS VARCHAR) || '-' || CAST(k AS VARCHAR) AS oa_code,
-               CAST(c_custkey AS VARCHAR) AS small_code, c_name AS small_name,
+               CASE WHEN c_custkey % 11 = 0 THEN 'U' || CAST(c_custkey AS VARCHAR)
+                    ELSE CAST(c_custkey AS VARCHAR) END AS small_code,
+               CASE WHEN c_custkey % 11 = 0 THEN 'Unlisted ' || c_name ELSE c_name END AS small_name,
                CAST(n_nationkey AS VARCHAR) AS mid_code, n_name AS mid_name,
                CAST(r_regionkey AS VARCHAR) AS district_code, r_name AS district_name,
                '' AS district_name_alt
         FROM customer JOIN nation ON c_nationkey = n_nationkey
-             JOIN region ON n_regionkey = r_regionkey, range(1, 4) t(k)
-        WHERE c_custkey % 11 <> 0""",
+             JOIN region ON n_regionkey = r_regionkey, range(1, 4) t(k)""",
     "xw": """
         SELECT DISTINCT small_code, small_name, mid_code, mid_name, district_code, district_name
         FROM xwalk""",
@@ -64,15 +65,15 @@ VIEWS = {
         SELECT rec.*, mid_code, mid_name, district_code, district_name
         FROM rec LEFT JOIN xw ON area_code = small_code AND area_name = small_name""",
     "rates_text": """
-        SELECT CASE WHEN c_custkey % 100 = 99 THEN 'Column Total' ELSE c_name END AS district,
+        SELECT CASE WHEN c_custkey % 100 = 99 THEN 'Column Total'
+                    WHEN c_custkey % 19 = 0 THEN 'Unlisted ' || c_name ELSE c_name END AS district,
                CAST(year AS INTEGER) AS year,
                CASE (c_custkey * 7 + year) % 13 WHEN 0 THEN '!' WHEN 1 THEN '-' WHEN 2 THEN '~'
                     ELSE CAST((20 + (c_custkey * 31 + (year - 1995) * 17) % 120) // 10 AS VARCHAR) || '.'
                          || CAST((20 + (c_custkey * 31 + (year - 1995) * 17) % 120) % 10 AS VARCHAR)
                END AS rate,
                CAST(50 + (c_custkey * 13 + year * 5) % 400 AS VARCHAR) AS population
-        FROM customer, range(1995, 2002) t(year)
-        WHERE c_custkey % 19 <> 0""",
+        FROM customer, range(1995, 2002) t(year)""",
     "rates": """
         SELECT district, year, TRY_CAST(rate AS DOUBLE) AS rate, TRY_CAST(population AS DOUBLE) AS population
         FROM rates_text
@@ -81,8 +82,9 @@ VIEWS = {
         SELECT area_name AS district, CAST(year AS INTEGER) AS year, count(*) AS "count"
         FROM rec GROUP BY ALL""",
     "skel": """
-        SELECT c_name AS district, CAST(year AS INTEGER) AS year
-        FROM customer, range(1995, 2002) t(year) WHERE c_custkey % 23 <> 0""",
+        SELECT CASE WHEN c_custkey % 23 = 0 THEN 'Unlisted ' || c_name ELSE c_name END AS district,
+               CAST(year AS INTEGER) AS year
+        FROM customer, range(1995, 2002) t(year)""",
     "merged": """
         SELECT district, year, "count", rate, population
         FROM dcounts FULL OUTER JOIN rates_text USING (district, year)""",
@@ -102,10 +104,11 @@ VIEWS = {
         FROM part""",
     "shapes": "SELECT DISTINCT shape_id, name FROM boundary",
     "clusters": """
-        SELECT c_name AS district, CAST(20 + (c_custkey * 31) % 120 AS DOUBLE) / 10 AS rate,
+        SELECT CASE WHEN c_custkey % 13 = 0 THEN 'Unlisted ' || c_name ELSE c_name END AS district,
+               CAST(20 + (c_custkey * 31) % 120 AS DOUBLE) / 10 AS rate,
                CAST(c_custkey % 977 AS DOUBLE) AS crime,
                CAST(nullif(c_custkey % 7, 0) AS INTEGER) AS cluster
-        FROM customer WHERE c_custkey % 13 <> 0""",
+        FROM customer""",
     "file_names": """
         SELECT DISTINCT 'in/' || strftime(o_orderdate, '%Y-%m') || '/' || strftime(o_orderdate, '%Y-%m')
                || '-force' || CAST(o_custkey % 25 AS VARCHAR) || '-'

@@ -73,15 +73,16 @@ def labelled_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def crosswalk(spark: SparkSession, sf: str) -> DataFrame:
-    """Three output areas per small area; every eleventh small area is unknown."""
-    customer = table(spark, sf, "customer").filter("c_custkey % 11 <> 0")
+    """Three output areas per small area; every eleventh small area has another code and name."""
+    customer = table(spark, sf, "customer")
     placed = (
         customer.join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     return placed.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3)))).selectExpr(
         "concat(c_custkey, '-', k) AS oa_code",
-        "CAST(c_custkey AS STRING) AS small_code", "c_name AS small_name",
+        "CASE WHEN c_custkey % 11 = 0 THEN concat('U', c_custkey) ELSE CAST(c_custkey AS STRING) END AS small_code",
+        "CASE WHEN c_custkey % 11 = 0 THEN concat('Unlisted ', c_name) ELSE c_name END AS small_name",
         "CAST(n_nationkey AS STRING) AS mid_code", "n_name AS mid_name",
         "CAST(r_regionkey AS STRING) AS district_code", "r_name AS district_name",
         "'' AS district_name_alt",
@@ -96,8 +97,9 @@ def _customer_years(spark: SparkSession, sf: str) -> DataFrame:
 def rates_raw(spark: SparkSession, sf: str) -> DataFrame:
     """Rate table under its long headers: text polluted by markers."""
     tenths = "(20 + (c_custkey * 31 + (year - 1995) * 17) % 120)"
-    return _customer_years(spark, sf).filter("c_custkey % 19 <> 0").selectExpr(
-        "CASE WHEN c_custkey % 100 = 99 THEN 'Column Total' ELSE c_name END "
+    return _customer_years(spark, sf).selectExpr(
+        "CASE WHEN c_custkey % 100 = 99 THEN 'Column Total' "
+        "WHEN c_custkey % 19 = 0 THEN concat('Unlisted ', c_name) ELSE c_name END "
         "AS `local authority: district / unitary (prior to April 2015)`",
         "CAST(year AS STRING) AS `Date`",
         "CASE (c_custkey * 7 + year) % 13 WHEN 0 THEN '!' WHEN 1 THEN '-' WHEN 2 THEN '~' "
@@ -129,8 +131,8 @@ def district_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def skeleton(spark: SparkSession, sf: str) -> DataFrame:
-    return _customer_years(spark, sf).filter("c_custkey % 23 <> 0").select(
-        F.col("c_name").alias("district"), "year")
+    return _customer_years(spark, sf).selectExpr(
+        "CASE WHEN c_custkey % 23 = 0 THEN concat('Unlisted ', c_name) ELSE c_name END AS district", "year")
 
 
 def boundary(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,9 +147,9 @@ def boundary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clusters(spark: SparkSession, sf: str) -> DataFrame:
-    """Cluster labels: 1..6, some missing, some districts absent."""
-    return table(spark, sf, "customer").filter("c_custkey % 13 <> 0").selectExpr(
-        "c_name AS district",
+    """Cluster labels: 1..6, some missing, some districts under another name."""
+    return table(spark, sf, "customer").selectExpr(
+        "CASE WHEN c_custkey % 13 = 0 THEN concat('Unlisted ', c_name) ELSE c_name END AS district",
         "CAST(20 + (c_custkey * 31) % 120 AS DOUBLE) / 10 AS rate",
         "CAST(c_custkey % 977 AS DOUBLE) AS crime",
         "CAST(nullif(c_custkey % 7, 0) AS INT) AS cluster",
