@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from beatgrid.llm.common import map_batches
 from beatgrid.llm.components import components
+from beatgrid.llm.near_copies import near_copies
 from beatgrid.sources.staging import materialise
 
 SHINGLE, SEED, RADIUS, BITS = 3, 42, 2, 64
@@ -213,13 +214,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component: the one with the smallest id, of those the smallest text digest.
+    """One document of each component of near copies: the one with the smallest id, of those the smallest text digest.
 
+    Near copies have a five-word similarity of at least 0.8 (``near_copies``), not close fingerprints.
     Absent ids come last. Rows are told apart by id and text, so repeated rows count
     once, and documents that share an id but not their text are judged one by one.
     """
     key = F.concat_ws(":", F.md5(F.coalesce("text", F.lit(""))), F.col("doc_id").cast("string"))
-    named = near_duplicates(docs.select("doc_id", "text", key.alias("key")))
+    named = near_copies(docs.select("doc_id", "text", key.alias("key")))
     first = named.groupBy("component").agg(F.min(F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id"), F.col("row.key"))).alias("first"))
     kept = materialise(first.select(F.col("first.key").alias("key")), "kept")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))

@@ -1,0 +1,71 @@
+"""The pipeline's near-duplicate stage against all pairs of five-word shingle sets."""
+
+import random
+
+import pytest
+
+from beatgrid.llm import near_copies, simhash_bk
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar(a, b):
+    return a == b or bool(a | b) and len(a & b) * 5 >= len(a | b) * 4
+
+
+def plain_labels(texts):
+    sets, label = [shingles(t) for t in texts], list(range(len(texts)))
+    links = [(a, b) for a in range(len(texts)) for b in range(a) if similar(sets[a], sets[b])]
+    for _ in texts:
+        before = list(label)
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+        if before == label:
+            return label
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for k in rng.sample(range(len(words)), n):
+        words[k] = f"new{rng.random()}"
+    return " ".join(words)
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(400)]
+    passage = rng.choices(vocabulary, k=60)
+    found = [None, "", "one two", "One  two", "one two three"]
+    for n in (0, 1, 2, 3, 4, 5, 6, 8):
+        base = rng.choices(vocabulary, k=250)
+        found += [" ".join(base), edited(rng, base, n)]
+    hub = rng.choices(vocabulary, k=200)
+    found += [edited(rng, hub, rng.randint(1, 4)) for _ in range(60)]
+    found += [" ".join(rng.choices(vocabulary, k=60) + passage) for _ in range(50)]
+    chain = rng.choices(vocabulary, k=150)
+    for _ in range(6):
+        chain[rng.randrange(150)] = f"step{rng.random()}"
+        found.append(" ".join(chain))
+    return found
+
+
+@pytest.mark.parametrize("crowd, open_pairs", [(32, 16), (2, 0)])
+def test_near_copies_are_found(spark, texts, crowd, open_pairs):
+    label = plain_labels(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    named = {r[0]: r[1] for r in near_copies.near_copies(docs, crowd=crowd, open_pairs=open_pairs).select("row.doc_id", "component").collect()}
+    assert len(named) == len(texts)
+    ours, plain = {}, {}
+    for i, l in enumerate(label):
+        ours.setdefault(named[i], set()).add(i)
+        plain.setdefault(l, set()).add(i)
+    assert sorted(map(sorted, ours.values())) == sorted(map(sorted, plain.values()))
+
+
+def test_stage_keeps_one_of_near_copies(spark, texts):
+    docs = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    assert sorted(r["doc_id"] for r in simhash_bk.keep_one(docs).collect()) == sorted(set(plain_labels(texts)))
