@@ -1,9 +1,9 @@
 """Main text of web pages, with the templates of each site removed.
 
 Every element's subtree (its tag, classes, text and children) is hashed on each page;
-Spark counts, per host, the distinct pages that hold a subtree. Subtrees that recur on
-many pages of their host are its template (menus, notices, footers) and are deleted
-wherever they stand. Elements that HTML itself names as no article text (``nav``,
+Spark counts, per host, the distinct pages that hold a subtree. Subtrees on at least
+``LEAST_PAGES`` pages of their host, however large it is, are its template (menus,
+notices, footers) and are deleted wherever they stand. Elements that HTML itself names as no article text (``nav``,
 ``footer``, ``script`` and the like, or such classes and roles) go on any page, also
 where a host has too few pages to count. Inside an ``article`` or ``main`` element,
 paragraphs, headings, list items and the like stay even if they recur, since passages
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from beatgrid.llm.common import map_batches
 from beatgrid.sources.staging import materialise
 
-LEAST_PAGES, LEAST_SHARE = 5, 0.1
+LEAST_PAGES = 5
 
 # Fixed values of HTML: kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -256,35 +256,37 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def site_templates(pages: DataFrame, page: str = "html", url: str = "url", least_pages: int = LEAST_PAGES,
-                   least_share: float = LEAST_SHARE) -> DataFrame:
-    """``(host, template)``: hashes of the subtrees that recur on the host's pages.
+def page_digest(page: str) -> Column:
+    return F.unhex(F.md5(page))
 
-    A host's list is bounded by the page size: a hash in it is on ``least_share`` of
-    the pages, so there are at most 1 / ``least_share`` times as many as a page has.
+
+def site_templates(pages: DataFrame, page: str = "html", url: str = "url", least_pages: int = LEAST_PAGES) -> DataFrame:
+    """``(host, digest, template)``: for each page its subtrees that recur on the host's pages.
+
+    Hashes meet the recurring ones as rows, so a list is never longer than its page.
     """
     known = (pages.select(host_of(F.col(url)).alias("host"), F.col(page).alias("html"))
              .filter(F.col("host").isNotNull() & F.col("html").isNotNull())
-             .select("host", F.md5("html").alias("digest"), "html"))
+             .select("host", page_digest("html").alias("digest"), "html"))
 
     def work(batches):
         for batch in batches:
             hashes = [page_hashes(x) for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hashes, pa.list_(pa.int64()))], names=["host", "digest", "hashes"])
 
-    seen = materialise(map_batches(known, work, "host string, digest string, hashes array<long>").dropDuplicates(["host", "digest"]).drop("digest"), "subtrees")
-    sizes = seen.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = seen.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    recurring = counts.filter(F.col("n") >= least_pages).join(sizes, "host").filter(F.col("n") >= F.col("pages") * least_share)
-    return recurring.groupBy("host").agg(F.collect_list("hash").alias("template"))
+    seen = materialise(map_batches(known, work, "host string, digest binary, hashes array<long>").dropDuplicates(["host", "digest"]), "subtrees")
+    rows = seen.select("host", "digest", F.explode("hashes").alias("hash"))
+    recurring = rows.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages).drop("n")
+    return rows.join(recurring, ["host", "hash"], "left_semi").groupBy("host", "digest").agg(F.collect_list("hash").alias("template"))
 
 
 def extract(pages: DataFrame, page: str = "html", url: str = "url", **options) -> DataFrame:
     """All columns but the page packed in ``row``, with its main ``text``."""
     templates = materialise(site_templates(pages, page, url, **options), "templates")
     rest = [c for c in pages.columns if c != page]
-    packed = pages.select(host_of(F.col(url)).alias("host"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.col(page).alias("html"))
-    joined = packed.join(templates, "host", "left").select("row", "html", "template")
+    packed = pages.select(host_of(F.col(url)).alias("host"), page_digest(page).alias("digest"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"),
+                          F.col(page).alias("html"))
+    joined = packed.join(templates, ["host", "digest"], "left").select("row", "html", "template")
 
     def work(batches):
         for batch in batches:
