@@ -123,17 +123,23 @@ def parse(page: str) -> list[Node]:
     return nodes
 
 
-def is_furniture(node: Node, in_main: bool) -> bool:
-    """Whether tag, role or class say that the element is no article text."""
+def is_furniture(node: Node, in_main: bool, holds_main: bool = False) -> bool:
+    """Whether tag, role or class say that the element is no article text.
+
+    An element around a main part that stays is judged by its tag and by whether it is
+    hidden, not by role, class or id, nor as a form or label.
+    """
     tag, a = node.tag, node.attributes
     if tag in ("html", "body", "main", "article"):
         return tag == "article" and bool({"comment", "comments", "teaser", "related"} & set(WORD.findall(a.get("class", ""))))
-    if tag in NOT_TEXT or tag == "header" and not in_main:
+    if tag in NOT_TEXT and not (holds_main and tag in ("form", "label")) or tag == "header" and not in_main:
         return True
     if not a:
         return False
     if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", ""):
         return True
+    if holds_main:
+        return False
     if a.get("role") in NOT_TEXT_ROLES:
         return True
     words = set(WORD.findall(a.get("class", "") + " " + a.get("id", "")))
@@ -151,6 +157,19 @@ def in_main_flags(nodes: list[Node]) -> dict[int, bool]:
     return flags
 
 
+def furniture(nodes: list[Node], in_main: dict[int, bool]) -> set[int]:
+    """The elements that go by name; children are judged before their parents."""
+    gone: set[int] = set()
+    holds: set[int] = set()
+    for node in reversed(nodes):
+        is_main = id(node) in holds or node.tag in ("main", "article") or node.attributes.get("role") == "main"
+        if is_furniture(node, in_main[id(node)], is_main):
+            gone.add(id(node))
+        elif is_main and node.parent is not None:
+            holds.add(id(node.parent))
+    return gone
+
+
 def subtree_hashes(nodes: list[Node]) -> dict[int, int]:
     """A signed 64-bit hash of each element that has text, by ``id``; children come after their parent in ``nodes``."""
     hashes: dict[int, int] = {}
@@ -196,7 +215,7 @@ def main_text(page: str, template: frozenset[int] | set[int]) -> str:
     """The text that is left, one line per block."""
     nodes = parse(page)
     in_main = in_main_flags(nodes)
-    gone = {id(n) for n in nodes if is_furniture(n, in_main[id(n)])}
+    gone = furniture(nodes, in_main)
     if template:
         hashes = subtree_hashes(nodes)
         gone |= {id(n) for n in deletable(nodes, in_main) if hashes.get(id(n)) in template}

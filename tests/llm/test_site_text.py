@@ -18,3 +18,27 @@ def test_adverts_on_few_percent_of_a_large_host_go(spark):
     found = texts(spark, rows)
     assert all("lamps" not in t for t in found.values()) and found[50] == "Text 50" and found[1001] == "Text 50"
     assert template_html.site_templates(spark.createDataFrame(rows, "page_id long, url string, html string")).count() == 24
+
+
+def plain_text(page):
+    return template_html.main_text(page, frozenset())
+
+
+def test_wrappers_around_the_main_part_stay():
+    part = "<article><h1>Title</h1><p>Body</p></article>"
+    for page in (
+        f"<body><div class='layout with-sidebar'>{part}<div class=sidebar>side</div></div></body>",
+        f"<body><div id=search-page><main>{part}</main></div></body>",
+        f"<body><form id=aspnetForm><nav>menu</nav>{part}<form>ask</form></form></body>",
+        f"<body><div role=search><label>{part}</label></div></body>",
+        f"<body><div class=nav-open><div class=search><div role=main>{part}</div></div></div></body>",
+    ):
+        assert "Title\nBody" in plain_text(page), page
+        assert not {"side", "menu"} & set(plain_text(page).split()), page
+
+
+def test_listed_elements_without_a_main_part_go():
+    part = "<article><p>Body</p></article>"
+    for gone in ("<div class=comments><article class=comment>hi</article></div>", "<aside class=related><article>card</article></aside>",
+                 "<div class=menu><nav><article>card</article></nav></div>", "<div style='display:none'><article>card</article></div>", "<form>ask</form>"):
+        assert plain_text(f"<body>{part}{gone}</body>") == "Body", gone
