@@ -9,6 +9,9 @@ where a host has too few pages to count. Inside an ``article`` or ``main`` eleme
 paragraphs, headings, list items and the like stay even if they recur, since passages
 that several articles quote are text of each of them.
 
+What is left of ``main`` is the text, if it holds all articles that stay; without it, or
+with an article beside it, what is left of the whole page.
+
 Defined cases: an absent or empty page has an empty text; pages with an absent or
 unreadable address have no host, so only the rules by name apply to them; equal pages
 of a host count once; unclosed, stray and wrongly nested tags are closed as browsers
@@ -223,12 +226,10 @@ def main_text(page: str, template: frozenset[int] | set[int]) -> str:
     for node in nodes:
         if id(node) in gone or node.parent is not None and id(node.parent) in lost:
             lost.add(id(node))
-    roots = []
-    for tags in (("article",), ("main",)):
-        roots = [n for n in nodes if n.tag in tags and id(n) not in lost and not any(p.tag in tags for p in ancestors(n))]
-        if any(blocks(root, lost) for root in roots):
-            break
-    else:
+    articles, mains = ([n for n in nodes if n.tag == tag and id(n) not in lost] for tag in ("article", "main"))
+    roots = [n for n in mains if not any(p.tag == "main" for p in ancestors(n))]
+    inside = all(any(p.tag == "main" for p in ancestors(n)) for n in articles)
+    if not inside or not any(blocks(root, lost) for root in roots):
         roots = [nodes[0]]
     return "\n".join(block for root in roots for block in blocks(root, lost))
 

@@ -42,3 +42,12 @@ def test_listed_elements_without_a_main_part_go():
     for gone in ("<div class=comments><article class=comment>hi</article></div>", "<aside class=related><article>card</article></aside>",
                  "<div class=menu><nav><article>card</article></nav></div>", "<div style='display:none'><article>card</article></div>", "<form>ask</form>"):
         assert plain_text(f"<body>{part}{gone}</body>") == "Body", gone
+
+
+def test_text_beside_articles_stays():
+    assert plain_text("<main><h1>Title</h1><p>Lead</p><article>body</article></main>") == "Title\nLead\nbody"
+    cards = "<article class=card>one</article><article class=card>two</article>"
+    assert plain_text(f"<body><main><p>The text</p></main>{cards}</body>") == "The text\none\ntwo"
+    assert plain_text(f"<body><div><p>The text</p></div>{cards}<footer>f</footer></body>") == "The text\none\ntwo"
+    assert plain_text("<body><p>left out</p><main><article>body</article></main></body>") == "body"
+    assert plain_text("<body><p>all there is</p><main></main></body>") == "all there is"
