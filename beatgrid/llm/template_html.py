@@ -207,11 +207,22 @@ def deletable(nodes: list[Node], in_main: dict[int, bool]) -> list[Node]:
     return [n for n in nodes if n.tag in BLOCK and id(n) not in holds_main and not (in_main[id(n)] and n.tag in PROSE)]
 
 
-def page_hashes(page: str) -> list[int]:
-    """Distinct hashes of the subtrees that may be template."""
+def below(nodes: list[Node], gone: set[int]) -> set[int]:
+    """The elements of ``gone`` and all below them."""
+    lost: set[int] = set()
+    for node in nodes:
+        if id(node) in gone or node.parent is not None and id(node.parent) in lost:
+            lost.add(id(node))
+    return lost
+
+
+def page_hashes(page: str) -> tuple[list[int], list[int]]:
+    """Distinct hashes of the subtrees that may be template, and those of them that the rules by name leave."""
     nodes = parse(page)
-    hashes = subtree_hashes(nodes)
-    return sorted({hashes[id(n)] for n in deletable(nodes, in_main_flags(nodes)) if id(n) in hashes})
+    hashes, in_main = subtree_hashes(nodes), in_main_flags(nodes)
+    lost = below(nodes, furniture(nodes, in_main))
+    may = [n for n in deletable(nodes, in_main) if id(n) in hashes]
+    return sorted({hashes[id(n)] for n in may}), sorted({hashes[id(n)] for n in may if id(n) not in lost})
 
 
 def main_text(page: str, template: frozenset[int] | set[int]) -> str:
@@ -222,10 +233,7 @@ def main_text(page: str, template: frozenset[int] | set[int]) -> str:
     if template:
         hashes = subtree_hashes(nodes)
         gone |= {id(n) for n in deletable(nodes, in_main) if hashes.get(id(n)) in template}
-    lost: set[int] = set()
-    for node in nodes:
-        if id(node) in gone or node.parent is not None and id(node.parent) in lost:
-            lost.add(id(node))
+    lost = below(nodes, gone)
     articles, mains = ([n for n in nodes if n.tag == tag and id(n) not in lost] for tag in ("article", "main"))
     roots = [n for n in mains if not any(p.tag == "main" for p in ancestors(n))]
     inside = all(any(p.tag == "main" for p in ancestors(n)) for n in articles)
@@ -283,7 +291,9 @@ def page_digest(page: str) -> Column:
 def site_templates(pages: DataFrame, page: str = "html", url: str = "url", least_pages: int = LEAST_PAGES) -> DataFrame:
     """``(host, digest, template)``: for each page its subtrees that recur on the host's pages.
 
-    Hashes meet the recurring ones as rows, so a list is never longer than its page.
+    Hashes meet the recurring ones as rows, so a list is never longer than its page. All
+    subtrees are counted; a page lists only those that the rules by name leave on it, so
+    that pages without any need no row.
     """
     known = (pages.select(host_of(F.col(url)).alias("host"), F.col(page).alias("html"))
              .filter(F.col("host").isNotNull() & F.col("html").isNotNull())
@@ -292,11 +302,12 @@ def site_templates(pages: DataFrame, page: str = "html", url: str = "url", least
     def work(batches):
         for batch in batches:
             hashes = [page_hashes(x) for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hashes, pa.list_(pa.int64()))], names=["host", "digest", "hashes"])
+            lists = [pa.array([h[k] for h in hashes], pa.list_(pa.int64())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names=["host", "digest", "hashes", "left"])
 
-    seen = materialise(map_batches(known, work, "host string, digest binary, hashes array<long>").dropDuplicates(["host", "digest"]), "subtrees")
-    rows = seen.select("host", "digest", F.explode("hashes").alias("hash"))
-    recurring = rows.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages).drop("n")
+    seen = materialise(map_batches(known, work, "host string, digest binary, hashes array<long>, left array<long>").dropDuplicates(["host", "digest"]), "subtrees")
+    rows = seen.select("host", "digest", F.explode("left").alias("hash"))
+    recurring = seen.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages).drop("n")
     return rows.join(recurring, ["host", "hash"], "left_semi").groupBy("host", "digest").agg(F.collect_list("hash").alias("template"))
 
 
