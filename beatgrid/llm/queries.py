@@ -6,8 +6,11 @@ from beatgrid.llm import (
     adaptive_ann,
     decontaminate,
     langid_nb,
+    merkle_manifest,
     mixing,
+    product_codes,
     quality_gbt,
+    secret_scan,
     sharding,
     simhash_bk,
     suffix_merge,
@@ -32,6 +35,9 @@ QUERIES = {
     "op8_rendezvous_shards": lambda s, d: sharding.op8_rendezvous_shards(_docs(s, d, "doc_id", "text")),
     "op9_languages": lambda s, d: langid_nb.op9_languages(_docs(s, d, "doc_id", "text", "lang")),
     "op10_simhash_groups": lambda s, d: simhash_bk.op10_simhash_groups(_docs(s, d, "doc_id", "text")),
+    "op11_secret_spans": lambda s, d: secret_scan.op11_secret_spans(_docs(s, d, "doc_id", "text")),
+    "op12_merkle_proofs": lambda s, d: merkle_manifest.op12_merkle_proofs(table(s, d, "documents")),
+    "op13_vector_codes": lambda s, d: product_codes.op13_vector_codes(table(s, d, "embeddings")),
 }
 
 
