@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from beatgrid.functions.folds import hash_fold
-from beatgrid.functions.tails import f_tail, incomplete_beta, t_tail
+from beatgrid.functions.tails import f_tail, incomplete_beta, t_tail, t_tail_column
 from beatgrid.operators import joins, ranking, regression
 from beatgrid.plans import modelling as plan
 
@@ -183,3 +183,114 @@ def test_pairwise_correlations(frame, data):
 def test_folds_are_known_values(spark):
     got = spark.sql("SELECT 'k1' AS k").select(hash_fold(F.col("k"), 10)).first()[0]
     assert got == 6
+
+
+def test_tail_columns_equal_the_numbers(spark):
+    points = [(t, d) for t in (-40.0, -2.5, 0.0, 1e-3, 0.5, 1.6, 1.8, 3.0, 12.7) for d in (1, 2, 3, 7, 30, 99, 101, 1503, 20_000)]
+    df = spark.createDataFrame([(t, d) for t, d in points] + [(None, 3), (1.0, None), (1.0, 0)], "t double, d int")
+    got = {(r["t"], r["d"]): r["p"] for r in df.select("t", "d", t_tail_column(F.col("t"), F.col("d")).alias("p")).collect()}
+    for t, d in points:
+        assert got[t, d] == pytest.approx(t_tail(t, d), rel=1e-8, abs=1e-13)
+    assert got[None, 3] is None and got[1.0, None] is None and got[1.0, 0] is None
+
+
+def many_levels(n):
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(n):
+        for _ in range(3):
+            x = rng.uniform(0, 10, 2)
+            rows.append((f"L{i:05d}", float(x[0]), float(x[1]), float(i % 17 + 2 * x[0] - 3 * x[1] + rng.normal())))
+    return rows
+
+
+def test_fit_of_thousands_of_levels(spark):
+    rows = many_levels(5000)
+    df = spark.createDataFrame(rows + [("L00001", None, 1.0, 1.0), (None, 1.0, 1.0, 1.0), ("L00002", float("nan"), 1.0, 1.0)],
+                               "place string, a double, b double, y double").repartition(4)
+    fitted = regression.ols(df, "y", ["a", "b"], "place")
+    got = {r["term"]: r for r in regression.coefficients(fitted).collect()}
+    assert len(got) == 5002 and fitted.df_residual == 15_000 - 5002
+    x, y = np.array([r[1:3] for r in rows]), np.array([r[3] for r in rows])
+    centred = lambda v: v - np.repeat(v.reshape(5000, 3, -1).mean(axis=1), 3, axis=0).reshape(v.shape)
+    cx, cy = centred(x), centred(y)
+    slopes = np.linalg.lstsq(cx, cy, rcond=None)[0]
+    variance = ((cy - cx @ slopes) ** 2).sum() / fitted.df_residual
+    inverse = np.linalg.inv(cx.T @ cx)
+    assert [got[c]["estimate"] for c in "ab"] == pytest.approx(list(slopes))
+    assert [got[c]["std_error"] for c in "ab"] == pytest.approx(list(np.sqrt(np.diag(inverse) * variance)))
+    mean_x, mean_y = x.reshape(5000, 3, 2).mean(axis=1), y.reshape(5000, 3).mean(axis=1)
+    effects = mean_y - mean_x @ slopes
+    apart = mean_x[4321] - mean_x[0]
+    assert got["place_L04321"]["estimate"] == pytest.approx(effects[4321] - effects[0])
+    assert got["place_L04321"]["std_error"] == pytest.approx(math.sqrt(variance * (2 / 3 + apart @ inverse @ apart)))
+    assert got["intercept"]["std_error"] == pytest.approx(math.sqrt(variance * (1 / 3 + mean_x[0] @ inverse @ mean_x[0])))
+    assert regression.residuals(fitted).agg(F.sum(F.col("residual") ** 2)).first()[0] == pytest.approx(fitted.sse)
+
+
+def test_validation_of_thousands_of_levels(spark):
+    rows = many_levels(4200)
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, place string, a double, b double, y double").repartition(4)
+    key = F.col("id").cast("string")
+    found = regression.kfold_fits(df, "y", ["a", "b"], "place", key, 3)
+    folds = {r["id"]: r["fold"] for r in df.select("id", hash_fold(key, 3).alias("fold")).collect()}
+    for row in found.folds().collect():
+        train = [r for i, r in enumerate(rows) if folds[i] != row["fold"]]
+        groups = {}
+        for r in train:
+            groups.setdefault(r[0], []).append(r[1:])
+        means = {g: np.mean(v, axis=0) for g, v in groups.items()}
+        c = np.array([np.array(r[1:]) - means[r[0]] for r in train])
+        assert [row["a"], row["b"]] == pytest.approx(list(np.linalg.lstsq(c[:, :2], c[:, 2], rcond=None)[0]))
+        assert math.isnan(row["test_mse"])  # some place has all its rows in one fold
+    seen = [r for r in many_levels(400) for _ in range(4)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(seen)], "id int, place string, a double, b double, y double")
+    found = regression.kfold_fits(df, "y", ["a", "b"], "place", key, 2)
+    effects = {(r["fold"], r["level"]): r["effect"] for r in found.effects().collect()}
+    folds = {r["id"]: r["fold"] for r in df.select("id", hash_fold(key, 2).alias("fold")).collect()}
+    for row in found.folds().collect():
+        own = [r for i, r in enumerate(seen) if folds[i] == row["fold"]]
+        errors = [(r[3] - effects[row["fold"], r[0]] - row["a"] * r[1] - row["b"] * r[2]) ** 2 for r in own]
+        assert row["n_test"] == len(own) and row["test_mse"] == pytest.approx(np.mean(errors))
+
+
+@pytest.mark.parametrize("scale", ["spread", "one far value", "signed"])
+def test_exact_quantiles_of_uneven_values(spark, scale):
+    rng = np.random.default_rng(3)
+    values = {"spread": 10.0 ** rng.uniform(-40, 40, 3000), "one far value": np.r_[rng.normal(size=3000), 1e308, -1e308],
+              "signed": np.r_[rng.normal(size=1500) * 1e9, np.zeros(1500), [math.inf]]}[scale]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "v double").repartition(5)
+    if scale == "signed":
+        df = df.filter("v < 1e300 OR v IS NULL")
+        values = values[:-1]
+    probabilities = [0, 0.013, 0.5, 0.9, 1]
+    assert ranking.exact_quantiles(df, "v", probabilities, rows_per_range=50, bins=64) == pytest.approx(list(np.quantile(values, probabilities)))
+
+
+def test_index_of_an_input_that_is_written_once(spark):
+    df = spark.createDataFrame([(i * 7 % 1000,) for i in range(1000)], "id int").repartition(3)
+    assert all(r["id"] == r["index"] for r in ranking.global_index(df, "id").collect())
+    assert ranking.global_index(df.limit(0), "id").collect() == []
+
+
+def test_clusters_do_not_depend_on_the_order_of_rows(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.normal(size=(400, 2)) * [3, 50])]
+    schema = "id int, a double, b double"
+    first = {r["id"]: r["cluster"] for r in regression.cluster(spark.createDataFrame(rows, schema).repartition(7), ["a", "b"], 4).collect()}
+    second = regression.fit_clusters(spark.createDataFrame(rows[::-1], schema).repartition(3, "id"), ["a", "b"], 4)
+    assert first == {r["id"]: r["cluster"] for r in second.rows.collect()}
+    z = np.array([r[1:] for r in rows])
+    z = (z - z.mean(axis=0)) / z.std(axis=0, ddof=1)
+    centres = np.array([z[[i for i in first if first[i] == c]].mean(axis=0) for c in range(1, 5)])
+    assert (((z[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1) + 1 == [first[i] for i in range(400)]).all()
+    assert tuple(second.facts().first()) == (400, 0, 4, 0, 0)
+
+
+def test_clusters_of_few_equal_or_no_rows(spark):
+    schema = "id int, a double, b double"
+    got = regression.fit_clusters(spark.createDataFrame([(1, 1.0, 2.0), (2, 1.0, 2.0), (3, None, 1.0)], schema), ["a", "b"])
+    assert sorted((r["id"], r["cluster"]) for r in got.rows.collect() if r["id"] < 3) == [(1, 1), (2, 1)]
+    assert tuple(got.facts().first()) == (3, 1, 1, 0, 0)
+    assert tuple(regression.fit_clusters(spark.createDataFrame([(3, None, 1.0)], schema), ["a", "b"]).facts().first()) == (1, 1, 0, 0, 0)
+    assert regression.cluster(spark.createDataFrame([], schema), ["a", "b"]).collect() == []

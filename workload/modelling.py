@@ -1,5 +1,6 @@
 """Rate-table, regression and cross-validation queries."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,11 +61,23 @@ def _fit(spark: SparkSession, sf: str) -> regression.Fit:
 
 
 def ols_multi(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(regression.coefficients(_fit(spark, sf)).select("term", "estimate"), 6, "term")
+    return _rounded(regression.coefficients(_fit(spark, sf)), 6, "term", "stars")
 
 
 def ols_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(regression.ols_summary(_fit(spark, sf)).drop("f_p"), 5, "n", "k", "df_residual")
+    return _rounded(regression.ols_summary(_fit(spark, sf)), 5, "n", "k", "df_residual")
+
+
+def ols_many_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """Every district a level of its own: counts on rate and population within districts."""
+    fit = regression.ols(_frame(spark, sf), "count", plan.PREDICTORS, "district")
+    return _rounded(regression.coefficients(fit).filter("term <> 'intercept'").select("term", "estimate", "std_error", "t", "stars"), 5, "term", "stars")
+
+
+def design_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Label and dummy-coded features of every row of the frame."""
+    built = regression.design(_frame(spark, sf), "count", plan.PREDICTORS, "year", v.YEARS)
+    return built.select("label", F.array_join(F.transform(vector_to_array("features"), lambda x: F.round(x, 3)), ",").alias("features"))
 
 
 def ols_kfold_cv(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,10 +89,19 @@ def pairwise_corr(spark: SparkSession, sf: str) -> DataFrame:
         _frame(spark, sf), ["year", "count", "population", "rate"]), 8)
 
 
+def _district_means(spark: SparkSession, sf: str) -> DataFrame:
+    return _frame(spark, sf).groupBy("district").agg(F.avg("rate").alias("rate"), F.sum("count").alias("crime"))
+
+
 def cluster_districts(spark: SparkSession, sf: str) -> DataFrame:
-    frame = _frame(spark, sf).groupBy("district").agg(
-        F.avg("rate").alias("rate"), F.sum("count").alias("crime"))
-    return regression.cluster(frame, ["rate", "crime"], k=5)
+    return regression.cluster(_district_means(spark, sf), ["rate", "crime"], k=5)
+
+
+def cluster_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """All districts of the skeleton, those without a complete year included, and whether the groups hold."""
+    districts = v.skeleton(spark, sf).select("district").distinct()
+    whole = joins.left_from_skeleton(districts, _district_means(spark, sf), ["district"])
+    return regression.fit_clusters(whole, ["rate", "crime"], k=5).facts()
 
 
 QUERIES = {
@@ -96,8 +118,23 @@ QUERIES = {
     "ols_kfold_cv": ols_kfold_cv,
     "pairwise_corr": pairwise_corr,
     "cluster_districts": cluster_districts,
+    "cluster_facts": cluster_facts,
+    "ols_many_levels": ols_many_levels,
+    "design_vectors": design_vectors,
 }
 
+# Tails in closed form: finite sums, since the degrees of freedom are whole numbers and F has an even number of them above.
+_T_TAIL = """
+    CASE WHEN {df} % 2 = 0 THEN 1 - abs({t}) / sqrt({df} + {t} * {t}) * list_sum(list_transform(range(0, {df} // 2),
+              lambda k: exp(lgamma(k + 0.5) - ln(pi()) / 2 - lgamma(k + 1.0) + k * ln({df} / ({df} + {t} * {t})))))
+         ELSE 1 - 2 / pi() * (atan(abs({t}) / sqrt({df})) + abs({t}) * sqrt({df}) / ({df} + {t} * {t})
+              * coalesce(list_sum(list_transform(range(0, ({df} - 1) // 2),
+              lambda k: exp(ln(pi()) / 2 - ln(2) + lgamma(k + 1.0) - lgamma(k + 1.5) + k * ln({df} / ({df} + {t} * {t}))))), 0)) END"""
+_F_TAIL = """
+    list_sum(list_transform(range(0, {above} // 2), lambda j: exp(lgamma({below} / 2 + j) - lgamma({below} / 2) - lgamma(j + 1.0)
+             + {below} / 2 * ln({below} / ({below} + {above} * {f})) + j * ln({above} * {f} / ({below} + {above} * {f})))))"""
+_STARS = "CASE WHEN p < 0.01 THEN '***' WHEN p < 0.05 THEN '**' WHEN p < 0.1 THEN '*' ELSE '' END AS stars"
+
 # Year effects are removed by centring within years, which leaves two slopes.
 _CENTRED = """
     SELECT *, rate - avg(rate) OVER w AS x1, population - avg(population) OVER w AS x2,
@@ -121,6 +158,35 @@ _FIT = {
         FROM frame, slopes GROUP BY year""",
     "base": "SELECT a AS a0 FROM effects ORDER BY year LIMIT 1",
 }
+# Error of a level: 1/n and the quadratic form of its means (their distance from the base's) with the inverse of the sums.
+_INFERENCE = {
+    "inverse": """
+        SELECT s22 / d AS i11, -s12 / d AS i12, s11 / d AS i22, n - levels - 2 AS df,
+               (syy - b1 * s1y - b2 * s2y) / (n - levels - 2) AS v
+        FROM (SELECT *, s11 * s22 - s12 * s12 AS d FROM slopes)""",
+    "means": "SELECT {by} AS level, count(*) AS nl, avg(rate) AS m1, avg(population) AS m2, avg(\"count\") AS my FROM frame GROUP BY {by}",
+    "first": "SELECT nl AS n0, m1 AS f1, m2 AS f2, my - b1 * m1 - b2 * m2 AS a0 FROM means, slopes ORDER BY level LIMIT 1",
+    "terms": """
+        SELECT 'intercept' AS term, a0 AS estimate,
+               sqrt(v * (1.0 / n0 + f1 * f1 * i11 + 2 * f1 * f2 * i12 + f2 * f2 * i22)) AS std_error FROM first, inverse
+        UNION ALL
+        SELECT '{by}_' || CAST(level AS VARCHAR), my - b1 * m1 - b2 * m2 - a0,
+               sqrt(v * (1.0 / nl + 1.0 / n0 + (m1 - f1) ** 2 * i11 + 2 * (m1 - f1) * (m2 - f2) * i12 + (m2 - f2) ** 2 * i22))
+        FROM means, slopes, first, inverse WHERE level > (SELECT min(level) FROM means)
+        UNION ALL SELECT 'rate', b1, sqrt(v * i11) FROM slopes, inverse
+        UNION ALL SELECT 'population', b2, sqrt(v * i22) FROM slopes, inverse""",
+    "tested": "SELECT term, estimate, std_error, estimate / std_error AS t, " + _T_TAIL.format(t="(estimate / std_error)", df="df") + " AS p FROM terms, inverse",
+}
+
+
+def _inference(by: str) -> dict[str, str]:
+    centred = {"centred": _CENTRED.format(source="frame", by=by), "sums": _SUMS.format(lead="", group="").replace("DISTINCT year", f"DISTINCT {by}"), "slopes": _SLOPES}
+    return {**centred, **{name: text.replace("{by}", by) for name, text in _INFERENCE.items()}}
+
+
+def _measures(names: str, digits: int) -> str:
+    return ", ".join(f"round({m}, {digits}) + 0.0 AS {m}" for m in names.split())
+
 _FOLD = """
     SELECT *, CAST(('0x' || substr(md5(district || '|' || CAST(year AS VARCHAR)), 1, 8))::BIGINT % 10
                    AS INTEGER) AS own
@@ -151,6 +217,11 @@ _CV = {
 }
 _CV_METRICS = ["test_mse", "adj_r2", "intercept", *[f"year_{y}" for y in v.YEARS[1:]], "rate", "population"]
 
+_PAIRS = f"""
+            SELECT r.rate AS x, CAST(c."count" AS DOUBLE) AS y
+            FROM rates r JOIN dcounts c ON r.district = c.district AND r.year = c.year
+            WHERE r.year = {ONE_YEAR} AND r.rate IS NOT NULL"""
+
 ORACLES = {
     "rate_table_clean": with_views("rates", "SELECT * FROM rates"),
     "semi_known_districts": with_views(
@@ -165,22 +236,29 @@ ORACLES = {
         SELECT CAST(regr_count(y, x) AS BIGINT) AS n, round(regr_slope(y, x), 6) + 0.0 AS slope,
                round(regr_intercept(y, x), 6) + 0.0 AS intercept, round(corr(y, x), 6) + 0.0 AS r,
                round(sqrt((regr_syy(y, x) - regr_slope(y, x) * regr_sxy(y, x))
-                          / (regr_count(y, x) - 2) / regr_sxx(y, x)), 6) + 0.0 AS std_error
-        FROM pairs""", {"pairs": f"""
-            SELECT r.rate AS x, CAST(c."count" AS DOUBLE) AS y
-            FROM rates r JOIN dcounts c ON r.district = c.district AND r.year = c.year
-            WHERE r.year = {ONE_YEAR} AND r.rate IS NOT NULL"""}),
-    "ols_multi": with_views("frame", """
-        SELECT 'intercept' AS term, round(a0, 6) + 0.0 AS estimate FROM base
-        UNION ALL SELECT 'year_' || CAST(year AS VARCHAR), round(a - a0, 6) + 0.0 FROM effects, base
-                  WHERE year > (SELECT min(year) FROM effects)
-        UNION ALL SELECT 'rate', round(b1, 6) + 0.0 FROM slopes
-        UNION ALL SELECT 'population', round(b2, 6) + 0.0 FROM slopes""", _FIT),
+                          / (regr_count(y, x) - 2) / regr_sxx(y, x)), 6) + 0.0 AS std_error,
+               (SELECT round(""" + _T_TAIL.format(t="t", df="df") + """, 6) + 0.0 FROM slope_t) AS p
+        FROM pairs""", {"pairs": _PAIRS, "slope_t": """
+            SELECT CAST(regr_count(y, x) - 2 AS BIGINT) AS df, regr_slope(y, x) / sqrt((regr_syy(y, x) - regr_slope(y, x)
+                   * regr_sxy(y, x)) / (regr_count(y, x) - 2) / regr_sxx(y, x)) AS t FROM pairs"""}),
+    "ols_multi": with_views("frame", f"SELECT term, {_measures('estimate std_error t p', 6)}, {_STARS} FROM tested", _inference("year")),
+    "ols_many_levels": with_views("frame", f"""
+        SELECT term, {_measures('estimate std_error t', 5)}, {_STARS} FROM tested WHERE term <> 'intercept'""", _inference("district")),
+    "design_vectors": with_views("frame", """
+        SELECT "count" AS label, array_to_string(list_transform(list_concat(
+                   list_transform(range(1996, 2002), lambda y: CASE WHEN y = year THEN 1.0 ELSE 0.0 END),
+                   [rate, population]), lambda x: CAST(round(CAST(x AS DOUBLE), 3) AS VARCHAR)), ',') AS features
+        FROM frame"""),
+    "cluster_facts": with_views("skel frame", """
+        SELECT count(*) AS rows, count(*) FILTER (WHERE district NOT IN (SELECT district FROM frame)) AS unlabelled,
+               CAST(5 AS BIGINT) AS groups, CAST(0 AS BIGINT) AS misplaced, CAST(0 AS BIGINT) AS moved
+        FROM (SELECT DISTINCT district FROM skel)"""),
     "ols_summary": with_views("frame", """
         SELECT n, CAST(k AS INTEGER) AS k, CAST(n - k - 1 AS INTEGER) AS df_residual,
                round(1 - sse / sst, 5) + 0.0 AS r2,
                round(1 - (sse / (n - k - 1)) / (sst / (n - 1)), 5) + 0.0 AS adj_r2,
                round(((sst - sse) / k) / (sse / (n - k - 1)), 5) + 0.0 AS f_value,
+               round(""" + _F_TAIL.format(above="k", below="(n - k - 1)", f="(((sst - sse) / k) / (sse / (n - k - 1)))") + """, 5) + 0.0 AS f_p,
                round(sqrt(sse / (n - k - 1)), 5) + 0.0 AS residual_error,
                round(q[1], 5) + 0.0 AS res_min, round(q[2], 5) + 0.0 AS res_q1,
                round(q[3], 5) + 0.0 AS res_median, round(q[4], 5) + 0.0 AS res_q3,
