@@ -8,11 +8,12 @@ be kept, they are selected by a join that runtime re-planning may split.
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from beatgrid.functions.folds import seeded_order
 from beatgrid.functions.text import all_blank, all_filled, is_blank, is_filled
+from beatgrid.sources.staging import write_stage
 
 
 def prune(df: DataFrame, keep: Sequence[str], header_guard: Mapping[str, str] | None = None) -> DataFrame:
@@ -164,20 +165,15 @@ def dedup_by_completeness(df: DataFrame, keys: Sequence[str], required: Sequence
 
 # --- audit --------------------------------------------------------------------
 
-def audit(df: DataFrame, keys: Sequence[str], required: Sequence[str], optional: str,
-          blank_key: str, location: Sequence[str]) -> DataFrame:
-    """One row with the size of every cleaning stage, from one pass over the rows.
-
-    Groups are those of ``dedup_by_completeness``; every stage size is a
-    conditional sum over them.
-    """
+def _audited_groups(df: DataFrame, keys: Sequence[str], required: Sequence[str], optional: str,
+                    blank_key: str, location: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """The survivors of ``dedup_by_completeness`` with the counts of their groups, and every stage size as a sum over them."""
     score = completeness(required, optional)
     rows_with = lambda s: F.sum(F.when(score == s, 1).otherwise(0))
     groups, value = _survivor_groups(
         df, keys, score, blank_key, (),
         F.count(F.lit(1)).alias("_n"), rows_with(2).alias("_n2"), rows_with(1).alias("_n1"))
-    survivors = groups.select(
-        *keys, "_n", "_n1", "_n2", *[value[c].alias(c) for c in location if c not in keys])
+    survivors = groups.select("_n", "_n1", "_n2", *[value[c].alias(c) for c in df.columns])
     n = F.col("_n")
     single = is_blank(blank_key) | (n == 1)
     at_best = (
@@ -186,7 +182,7 @@ def audit(df: DataFrame, keys: Sequence[str], required: Sequence[str], optional:
     always, one = F.lit(True), F.lit(1)
     total = lambda condition, weight: F.coalesce(
         F.sum(F.when(condition, weight).otherwise(0)), F.lit(0)).cast("bigint")
-    return survivors.agg(
+    return survivors, [
         total(always, n).alias("before"),
         total(single, n).alias("unique_or_blank"),
         total(single, one).alias("unique_or_blank_distinct"),
@@ -195,4 +191,32 @@ def audit(df: DataFrame, keys: Sequence[str], required: Sequence[str], optional:
         total(~single, one).alias("survivors"),
         total(always, one).alias("recombined"),
         total(~all_blank(location), one).alias("locatable"),
-    )
+    ]
+
+
+def audit(df: DataFrame, keys: Sequence[str], required: Sequence[str], optional: str,
+          blank_key: str, location: Sequence[str]) -> DataFrame:
+    """One row with the size of every cleaning stage, from one pass over the rows.
+
+    Groups are those of ``dedup_by_completeness``; every stage size is a
+    conditional sum over them.
+    """
+    survivors, sizes = _audited_groups(df, keys, required, optional, blank_key, location)
+    return survivors.agg(*sizes)
+
+
+def clean_observed(df: DataFrame, path: str, keys: Sequence[str], required: Sequence[str], optional: str,
+                   blank_key: str, location: Sequence[str]) -> DataFrame:
+    """Write the de-duplicated, locatable rows to ``path``, and return the row of ``audit``.
+
+    The sizes are observed while the rows are written, in the tasks that write them, so
+    cleaning and audit are one scan and one shuffle.
+    """
+    survivors, sizes = _audited_groups(df, keys, required, optional, blank_key, location)
+    seen = Observation("cleaning")
+    kept = survivors.observe(seen, *sizes).filter(~all_blank(location)).select(*df.columns)
+    write_stage(kept, path)
+    found = seen.get
+    names = list(found)
+    schema = ", ".join(f"`{name}` bigint" for name in names)
+    return df.sparkSession.createDataFrame([tuple(found[name] for name in names)], schema)

@@ -69,6 +69,20 @@ def attach_parents(df: DataFrame, crosswalk: DataFrame, on: Mapping[str, str] =
     return join_reduced(df, unique, list(on), "left")
 
 
+def crosswalk_conflicts(crosswalk: DataFrame, on: Sequence[str] = tuple(MATCH_ON.values()),
+                        parents: Sequence[str] = PARENTS) -> DataFrame:
+    """Match keys listed under several parents: one row per key and parents that breaks the dependency.
+
+    ``n_rows`` counts the crosswalk rows, ``n_parents`` the different parents of the key, and ``used`` marks
+    the ones that ``attach_parents`` takes. No rows mean that the parents follow from the keys.
+    """
+    listed = crosswalk.groupBy(*on, *parents).agg(F.count(F.lit(1)).alias("n_rows"))
+    broken = (listed.groupBy(*on).agg(F.count(F.lit(1)).alias("n_parents"), F.min(F.struct(*parents)).alias("_first"))
+              .filter(F.col("n_parents") > 1))
+    found = join_reduced(listed, broken, on, "inner")
+    return found.select(*on, *parents, "n_rows", "n_parents", F.struct(*parents).eqNullSafe(F.col("_first")).alias("used"))
+
+
 def missing_parents(df: DataFrame, parent: str = PARENTS[0], count: str | None = None) -> DataFrame:
     """Rows (and records, where a count column is given) without a parent."""
     missed = F.col(parent).isNull()

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame
 
-from beatgrid.operators.clean import audit, dedup_by_completeness, drop_unlocatable, prune
+from beatgrid.operators.clean import audit, clean_observed, dedup_by_completeness, drop_unlocatable, prune
 from beatgrid.schemas import LOCATION_COLUMNS, OUTCOME_ANALYSIS, RECORD_COLUMNS, STREET_ANALYSIS
 from beatgrid.vocabulary import HEADERS
 
@@ -40,3 +40,8 @@ def clean_outcomes(raw: DataFrame) -> DataFrame:
 
 def street_audit(raw: DataFrame) -> DataFrame:
     return audit(prune_street(raw), KEYS, STREET_ANALYSIS[:-1], "outcome", "crime_id", LOCATION_COLUMNS)
+
+
+def clean_street_observed(raw: DataFrame, path: str) -> DataFrame:
+    """Write the clean street records to ``path`` and return their audit, from one scan."""
+    return clean_observed(prune_street(raw), path, KEYS, STREET_ANALYSIS[:-1], "outcome", "crime_id", LOCATION_COLUMNS)

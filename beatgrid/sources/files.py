@@ -3,6 +3,7 @@
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from beatgrid.vocabulary import HEADERS
@@ -41,7 +42,9 @@ def first_lines(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFram
     """First line of every file, all files in one job.
 
     Only rows of a file's first block compete, and they are reduced to one row
-    per file before the shuffle.
+    per file before the shuffle. The text of the files is read whole: Spark feeds a
+    consumer that stops early (an Arrow or RDD generator) to the end of its input all
+    the same.
     """
     lines = (
         spark.read.option("recursiveFileLookup", True)
@@ -75,3 +78,30 @@ def validate_headers(spark: SparkSession, root: str,
 
 def offenders(validated: DataFrame) -> DataFrame:
     return validated.filter(~F.col("ok"))
+
+
+# --- packing ------------------------------------------------------------------
+
+def folder_of(path: Column) -> Column:
+    return F.regexp_replace(path, "/[^/]*$", "")
+
+
+def pack_files(files: DataFrame, target_bytes: int, group: Column | None = None) -> tuple[DataFrame, int]:
+    """``(path, first_bin, before)`` for listed files, and the number of bins.
+
+    Files of a group (their folder, unless another is given) lie end to end in path order, and bins are cut every
+    ``target_bytes`` of that run. A byte at offset b of a file is in bin
+    ``first_bin + floor((before + b) / target_bytes)``, so a long file spans several bins and
+    many short ones share one. Only one row per group reaches the driver.
+    """
+    group = folder_of(F.col("path")) if group is None else group
+    listed = files.select("path", "length", group.alias("group"))
+    bins = {r["group"]: max(1, -(-r["n"] // target_bytes)) for r in listed.groupBy("group").agg(F.sum("length").alias("n")).collect()}
+    starts, total = [], 0
+    for name in sorted(bins):
+        starts.append((name, total))
+        total += bins[name]
+    run = W.partitionBy("group").orderBy("path").rowsBetween(W.unboundedPreceding, -1)
+    first = files.sparkSession.createDataFrame(starts, "group string, first_bin int")
+    before = F.coalesce(F.sum("length").over(run), F.lit(0)).alias("before")
+    return listed.select("path", "group", before).join(first, "group").select("path", "first_bin", "before"), total

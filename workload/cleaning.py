@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from beatgrid.operators import clean
 from beatgrid.plans import incidents as plan
 from beatgrid.schemas import LOCATION_COLUMNS, RECORD_COLUMNS, STREET_ANALYSIS
+from beatgrid.sources.staging import scratch_path
 from workload import views as v
 from workload.view_sql import with_views
 
@@ -52,6 +53,7 @@ QUERIES = {
     "street_dedup": lambda s, d: plan.clean_street(v.incidents(s, d)),
     "outcome_dedup": lambda s, d: plan.clean_outcomes(v.outcome_records(s, d)),
     "dedup_audit": lambda s, d: plan.street_audit(v.incidents(s, d)),
+    "dedup_audit_observed": lambda s, d: plan.clean_street_observed(v.incidents(s, d), scratch_path(s, "clean-street")),
 }
 
 _COLS = ", ".join(STREET_ANALYSIS)
@@ -106,3 +108,4 @@ ORACLES = {
                (SELECT count(*) FROM cleaned) AS recombined,
                (SELECT count(*) FROM cleaned WHERE {LOCATED}) AS locatable""", DEDUP),
 }
+ORACLES["dedup_audit_observed"] = ORACLES["dedup_audit"]

@@ -1,12 +1,22 @@
 """Queries over files: they write the views as files and read them back."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatgrid.operators.counts import count_by_area, with_year
+from beatgrid.operators.joins import first_rows
 from beatgrid.operators.rollup import crosswalk_distinct, long_facts
-from beatgrid.sources.files import classify_files, validate_headers
-from beatgrid.sources.records import compact, kind_glob, read_crosswalk, read_records
+from beatgrid.schemas import record_schema, text_schema
+from beatgrid.sources.files import classify_files, list_files, validate_headers
+from beatgrid.sources.records import (
+    compact_by_bytes,
+    file_order,
+    kind_glob,
+    read_crosswalk,
+    read_records,
+    read_text_table,
+    read_tree,
+)
 from beatgrid.sources.staging import export_csv, read_export, read_stage, scratch_path, write_stage
 from beatgrid.sources.tables import (
     SKELETON_SCHEMA,
@@ -34,12 +44,79 @@ def ingest_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_records(spark, kind_glob(root, "street"), "street", recursive=True)
 
 
+def _write_tree(root: str, kind: str, header: str, rows: DataFrame, month: Column, force: Column) -> None:
+    """Real file names: ``<root>/<month>/<month>-<force>-<kind>.csv``, one file each.
+
+    Spark names its own parts, so each is written below a folder of the wanted name and then takes that name.
+    """
+    spark, work = rows.sparkSession, f"{root}-{kind}"
+    named = rows.toDF(*header.split(",")).select("*", month.alias("_m"), F.concat_ws("-", month, force, F.lit(kind)).alias("_f"))
+    (named.repartition("_f").write.partitionBy("_m", "_f").option("header", True).option("escape", '"').csv(work))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(work).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for part in system.globStatus(path(f"{work}/_m=*/_f=*/part-*.csv")):
+        old = part.getPath()
+        name = old.getParent().getName().split("=", 1)[1]
+        folder = path(f"{root}/{old.getParent().getParent().getName().split('=', 1)[1]}")
+        system.mkdirs(folder)
+        system.rename(old, path(folder, f"{name}.csv"))
+
+
+def _record_tree(spark: SparkSession, sf: str) -> str:
+    """Street, outcome, stop-and-search and unknown files of two forces."""
+    root = scratch_path(spark, "tree")
+    force = F.concat(F.lit("force-"), F.col("Reported by").substr(7, 9).cast("int") % 2)
+    street, outcomes, searches = v.incidents(spark, sf), v.outcome_records(spark, sf), v.searches(spark, sf)
+    _write_tree(root, "street", HEADERS["street"], street, F.col("Month"), force)
+    _write_tree(root, "outcomes", HEADERS["outcomes"], outcomes, F.col("Month"), force)
+    header = HEADERS["stop-and-search"]
+    _write_tree(root, "stop-and-search", header, searches.drop("force"), F.col("Date").substr(1, 7),
+                F.concat(F.lit("force-"), F.regexp_extract("Self-defined ethnicity", r"\d", 0).cast("int") % 2))
+    _write_tree(root, "notes", HEADERS["outcomes"], outcomes.filter("month LIKE '1997%'"), F.col("Month"), force)
+    return root
+
+
+def mixed_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """What one scan of a tree of all kinds gives, by kind and month, beside the listing of its files."""
+    root = _record_tree(spark, sf)
+    name = F.regexp_extract("path", r"([^/]*)$", 1)
+    files = (classify_files(list_files(spark, root)).groupBy("kind", F.substring(name, 1, 7).alias("month"))
+             .agg(F.count(F.lit(1)).alias("n_files")))
+    tree = read_tree(spark, root)
+    month = F.substring(F.regexp_extract("path", r"([^/]*)$", 1), 1, 7)
+    ids = F.coalesce(F.col("street.crime_id"), F.col("outcomes.crime_id"))
+    rows = tree.groupBy("kind", month.alias("month")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("force").alias("n_forces"), F.count(ids).alias("n_ids"),
+        F.count_distinct("street.location").alias("n_locations"),
+        F.count("stop_and_search.object_of_search").alias("n_objects"),
+        F.max("stop_and_search.self_defined_ethnicity").alias("last_stated"))
+    return files.join(rows, ["kind", "month"])
+
+
+def stop_and_search_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The searches of a tree, through the reader of one kind."""
+    root = scratch_path(spark, "searches")
+    _write_tree(root, "stop-and-search", HEADERS["stop-and-search"], v.searches(spark, sf).drop("force"), F.col("Date").substr(1, 7), F.lit("force-0"))
+    return read_records(spark, kind_glob(root, "stop-and-search"), "stop-and-search")
+
+
+COMPACT_BYTES = 4 << 20
+
+
 def compact_files(spark: SparkSession, sf: str) -> DataFrame:
     root, out = scratch_path(spark, "compact-in"), scratch_path(spark, "compact-out")
     _write_record_files(v.outcome_records(spark, sf), f"{root}/all/all-outcomes.csv", HEADERS["outcomes"])
-    rows = read_records(spark, kind_glob(root, "outcomes"), "outcomes", recursive=True)
-    compact(rows, out, "month")
-    return read_stage(spark, out, rows.schema)
+    compact_by_bytes(spark, root, "outcomes", out, COMPACT_BYTES)
+    return read_stage(spark, out, record_schema("outcomes"))
+
+
+def first_match_file_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Each name takes its first value in file order; the column that the order came from is not in the file."""
+    path = scratch_path(spark, "in-order")
+    rows = v.repeated_names(spark, sf)
+    rows.repartitionByRange(8, "place").sortWithinPartitions("place").drop("place").write.option("header", True).csv(path)
+    placed = read_text_table(spark, path, text_schema(["name", "value"]), with_place=True)
+    return first_rows(placed.withColumn("_order", file_order()), ["name"], ["value"], ["_order"])
 
 
 def classify_files_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,6 +203,9 @@ _NULLED = ", ".join(
 QUERIES = {
     "ingest_csv_roundtrip": ingest_csv_roundtrip,
     "compact_files": compact_files,
+    "mixed_tree": mixed_tree,
+    "stop_and_search_csv": stop_and_search_csv,
+    "first_match_file_order": first_match_file_order,
     "classify_files": classify_files_query,
     "validate_headers": validate_headers_query,
     "stage_roundtrip": stage_roundtrip,
@@ -137,7 +217,33 @@ QUERIES = {
     "district_counts_csv": district_counts_csv,
     "cluster_labels_csv": cluster_labels_csv,
 }
+_SEARCHES = """
+    SELECT 'Person search' AS search_type, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS date, 'False' AS in_operation,
+           CAST(NULL AS VARCHAR) AS operation, '51.5' AS latitude, '-0.1' AS longitude, o_orderstatus AS gender, '18-24' AS age_range,
+           'Group "' || CAST(o_custkey % 9 AS VARCHAR) || '", stated' AS self_defined_ethnicity,
+           CAST(NULL AS VARCHAR) AS officer_defined_ethnicity, 'Act 1984 (section 1)' AS legislation,
+           CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS object_of_search, CAST(NULL AS VARCHAR) AS outcome,
+           CAST(NULL AS VARCHAR) AS outcome_linked_to_object, 'False' AS outer_clothing_removed
+    FROM orders"""
+_TREE = {
+    "searched": "SELECT *, CAST(regexp_extract(self_defined_ethnicity, '[0-9]') AS INTEGER) % 2 AS force FROM (" + _SEARCHES + ")",
+    "forced": "SELECT *, CAST(substr(reported_by, 7) AS INTEGER) % 2 AS force FROM inc",
+    "parts": """
+        SELECT 'street' AS kind, month, force, nullif(crime_id, '') AS id, location, NULL AS object, NULL AS stated FROM forced
+        UNION ALL SELECT 'outcomes', month, force, nullif(crime_id, ''), NULL, NULL, NULL FROM forced
+        UNION ALL SELECT 'stop-and-search', substr(date, 1, 7), force, NULL, NULL, object_of_search, self_defined_ethnicity FROM searched
+        UNION ALL SELECT 'unidentified', month, force, NULL, NULL, NULL, NULL FROM forced WHERE month LIKE '1997%'""",
+}
+
 ORACLES = {
+    "mixed_tree": with_views("inc", """
+        SELECT kind, month, count(DISTINCT force) AS n_files, count(*) AS n_rows,
+               CASE WHEN kind = 'unidentified' THEN 0 ELSE count(DISTINCT force) END AS n_forces, count(id) AS n_ids,
+               count(DISTINCT location) AS n_locations, count(object) AS n_objects, max(stated) AS last_stated
+        FROM parts GROUP BY kind, month""", _TREE),
+    "stop_and_search_csv": _SEARCHES,
+    "first_match_file_order": """
+        SELECT 'Area ' || CAST(c_custkey % 97 AS VARCHAR) AS name, CAST(max(c_custkey) AS VARCHAR) AS value FROM customer GROUP BY ALL""",
     "ingest_csv_roundtrip": with_views(
         "inc", f"SELECT {_NULLED}, crime_type, nullif(outcome, '') AS outcome, nullif(context, '') AS context FROM inc"),
     "compact_files": with_views("inc", f"SELECT {_NULLED}, nullif(outcome, '') AS outcome FROM inc"),

@@ -54,6 +54,7 @@ QUERIES = {
     "clean_counts_by_area": clean_counts_by_area,
     "crosswalk_dedup": lambda s, d: rollup.crosswalk_distinct(v.crosswalk(s, d)),
     "crosswalk_join": crosswalk_join,
+    "crosswalk_conflicts": lambda s, d: rollup.crosswalk_conflicts(v.crosswalk_with_conflicts(s, d)),
     "crosswalk_misses": lambda s, d: rollup.missing_parents(_facts(s, d), count="n"),
     "indicator_crime": lambda s, d: features.indicators(v.records(s, d), "crime_type", CRIMES),
     "indicator_outcome": lambda s, d: features.indicators(v.records(s, d), "outcome", STATES),
@@ -138,6 +139,13 @@ ORACLES = {
         SELECT area_name, substr(month, 1, 4) AS year, count(*) AS "count"
         FROM cleaned WHERE {LOCATED} GROUP BY ALL""", DEDUP),
     "crosswalk_dedup": with_views("xw", "SELECT * FROM xw"),
+    "crosswalk_conflicts": with_views("xwalk2", """
+        SELECT *, row_number() OVER (PARTITION BY small_code, small_name
+                                     ORDER BY mid_code, mid_name, district_code, district_name NULLS FIRST) = 1 AS used
+        FROM (SELECT *, count(*) OVER (PARTITION BY small_code, small_name) AS n_parents
+              FROM (SELECT small_code, small_name, mid_code, mid_name, district_code, district_name, count(*) AS n_rows
+                    FROM xwalk2 GROUP BY ALL))
+        WHERE n_parents > 1"""),
     "crosswalk_join": with_views("placed", """
         SELECT area_code, area_name, month, count(*) AS n, mid_code, mid_name AS mid_area,
                district_code, district_name AS district_area

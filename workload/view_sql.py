@@ -61,6 +61,9 @@ VIEWS = {
     "xw": """
         SELECT DISTINCT small_code, small_name, mid_code, mid_name, district_code, district_name
         FROM xwalk""",
+    "xwalk2": """
+        SELECT * FROM xwalk UNION ALL
+        SELECT oa_code, small_code, small_name, mid_code, mid_name, '-', NULL, district_name_alt FROM xwalk WHERE oa_code LIKE '%7-1'""",
     "placed": """
         SELECT rec.*, mid_code, mid_name, district_code, district_name
         FROM rec LEFT JOIN xw ON area_code = small_code AND area_name = small_name""",
@@ -116,7 +119,7 @@ VIEWS = {
         FROM orders""",
 }
 NEEDS = {
-    "st": ["inc"], "scored": ["st"], "sized": ["scored"], "xw": ["xwalk"], "placed": ["rec", "xw"],
+    "xwalk2": ["xwalk"], "st": ["inc"], "scored": ["st"], "sized": ["scored"], "xw": ["xwalk"], "placed": ["rec", "xw"],
     "rates": ["rates_text"], "dcounts": ["rec"], "merged": ["dcounts", "rates_text"],
     "frame": ["skel", "merged"], "shapes": ["boundary"],
 }

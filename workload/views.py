@@ -163,3 +163,30 @@ def file_names(spark: SparkSession, sf: str) -> DataFrame:
         "'-force', o_custkey % 25, '-', element_at(array('street', 'outcomes', 'stop-and-search', 'notes'), "
         "CAST(o_orderkey % 4 AS INT) + 1), '.csv') AS path"
     ).distinct()
+
+
+def searches(spark: SparkSession, sf: str) -> DataFrame:
+    """Stop-and-search records, one per order; the force is among the columns of the view, not of the record."""
+    return table(spark, sf, "orders").selectExpr(
+        "'Person search' AS search_type",
+        "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\") AS date",
+        "'False' AS in_operation", "'' AS operation", "'51.5' AS latitude", "'-0.1' AS longitude",
+        "o_orderstatus AS gender", "'18-24' AS age_range", "concat('Group \"', o_custkey % 9, '\", stated') AS self_defined_ethnicity",
+        "'' AS officer_defined_ethnicity", "'Act 1984 (section 1)' AS legislation",
+        "CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderpriority END AS object_of_search",
+        "'' AS outcome", "'' AS outcome_linked_to_object", "'False' AS outer_clothing_removed",
+        "concat('force-', o_custkey % 2) AS force",
+    )
+
+
+def crosswalk_with_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    """The crosswalk, in which some small areas are listed a second time, under another district."""
+    rows = crosswalk(spark, sf)
+    again = rows.filter("oa_code LIKE '%7-1'").withColumn("district_code", F.lit("-")).withColumn("district_name", F.lit(None).cast("string"))
+    return rows.unionByName(again)
+
+
+def repeated_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Values under names that occur many times, by a place that is not a column of the file."""
+    return table(spark, sf, "customer").selectExpr(
+        "concat('Area ', c_custkey % 97) AS name", "CAST(c_custkey AS STRING) AS value", "-c_custkey AS place")
