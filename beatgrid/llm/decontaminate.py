@@ -1,9 +1,9 @@
 """Benchmark decontamination with one Aho-Corasick automaton over word windows.
 
 Every window of ten consecutive words of a benchmark item (the whole item, if it has
-fewer) is a pattern. Words of the benchmark become single characters, so a pattern
-has ten of them, a document becomes one character per word, and the automaton's
-positions are word positions. One scan finds all windows of all items; word
+fewer) is a pattern. Words of the benchmark become characters (one each, or two each
+for over ``ONE_CHARACTER`` different words), so a pattern has ten of them, a document
+becomes one code per word, and the automaton's positions give word positions. One scan finds all windows of all items; word
 positions map back to offsets in the original text.
 
 The automaton is broadcast. It holds at most ``SLICE_WINDOWS`` windows, a proven
@@ -32,6 +32,9 @@ from beatgrid.sources.staging import materialise
 WINDOW = 10
 SLICE_WINDOWS = 200_000
 UNKNOWN = "\0"
+#: So many words have a character each; beyond, each has one of 0x4000 characters and one of the others, so that codes never match across words.
+ONE_CHARACTER = 1_000_000
+LEADING, SURROGATES_END = 0x4000, 0xE000
 #: Fixed: ASCII letters and digits and all other characters from U+0080 on are word characters.
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FOUND = "row {row}, n_words long, spans array<struct<first:int,last:int>>, offsets array<struct<start:int,stop:int>>, items array<string>"
@@ -60,21 +63,33 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW, text: str = "tex
     return map_batches(named, work, "window binary, item string").distinct()
 
 
-def build_automaton(pairs: Iterable[tuple[bytes, str]]) -> tuple[dict[bytes, str], ahocorasick.Automaton | None]:
-    """Characters for words, and the automaton over windows written in them."""
+def code_of(number: int, width: int) -> str:
+    """The characters of the word with this number; code points of UTF-16 surrogates are no characters."""
+    if width == 1:
+        point = number + 1
+        return chr(point + 0x800 if point >= 0xD800 else point)
+    return chr(1 + number % LEADING) + chr(SURROGATES_END + number // LEADING)
+
+
+def build_automaton(pairs: Iterable[tuple[bytes, str]], one_character: int = ONE_CHARACTER) -> tuple[dict[bytes, str], ahocorasick.Automaton | None, int]:
+    """Codes of words, the automaton over windows written in them, and the characters a code has."""
     items: dict[bytes, list[str]] = {}
     for window, item in pairs:
         items.setdefault(bytes(window), []).append(item)
-    codes: dict[bytes, str] = {}
+    numbers: dict[bytes, int] = {}
+    for window in items:
+        for word in window.split(b" "):
+            numbers.setdefault(word, len(numbers))
+    width = 1 if len(numbers) <= one_character else 2
+    codes = {word: code_of(number, width) for word, number in numbers.items()}
+    if not items:
+        return codes, None, width
     automaton = ahocorasick.Automaton()
     for window, names in items.items():
-        # The code points of UTF-16 surrogates are no characters; all others are free.
-        coded = "".join(codes.setdefault(w, chr(len(codes) + 1 + (0x800 if len(codes) + 1 >= 0xD800 else 0))) for w in window.split(b" "))
-        automaton.add_word(coded, (len(coded), tuple(names)))
-    if not items:
-        return codes, None
+        words = window.split(b" ")
+        automaton.add_word("".join(map(codes.__getitem__, words)), (len(words), tuple(names)))
     automaton.make_automaton()
-    return codes, automaton
+    return codes, automaton, width
 
 
 def united(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -88,9 +103,10 @@ def united(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return merged
 
 
-def find(coded: str, automaton) -> tuple[list[tuple[int, int]], set[str]]:
+def find(coded: str, automaton, width: int = 1) -> tuple[list[tuple[int, int]], set[str]]:
     spans, names = [], set()
-    for last, (length, items) in automaton.iter(coded):
+    for end, (length, items) in automaton.iter(coded):
+        last = end // width
         spans.append((last - length + 1, last))
         names.update(items)
     return united(spans), names
@@ -124,7 +140,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int =
 
 def _scanner(shared, text: str):
     def work(batches):
-        clean, (codes, automaton) = word_table(), shared.value
+        clean, (codes, automaton, width) = word_table(), shared.value
+        unknown = UNKNOWN * width
         for batch in batches:
             row = batch.column(0)
             values = row.field(row.type.get_field_index(text)).to_pylist()
@@ -135,8 +152,8 @@ def _scanner(shared, text: str):
             for value, old, old_items in zip(values, before, named):
                 words = (value or "").encode().translate(clean).split()
                 counts.append(len(words))
-                coded = "".join(map(codes.get, words, itertools.repeat(UNKNOWN)))
-                hit, names = find(coded, automaton) if automaton is not None and words else ([], set())
+                coded = "".join(map(codes.get, words, itertools.repeat(unknown)))
+                hit, names = find(coded, automaton, width) if automaton is not None and words else ([], set())
                 if old:
                     hit, names = united([*hit, *((s["first"], s["last"]) for s in old)]), names | set(old_items)
                 spans.append([{"first": a, "last": b} for a, b in hit])

@@ -3,9 +3,11 @@
 Counts of all n-grams of all documents that may be learned from are summed per
 language and hash bucket: each task counts into arrays, and Spark adds the arrays'
 entries. The log-probability matrix has one row per bucket and one column per
-language; with at most ``MAX_LANGUAGES`` of them its size is bounded (32 MB), and it
-is broadcast. Names become numbers before the counts are fetched, so the driver reads
-at most ``MAX_LANGUAGES`` times the buckets, 16 bytes each. A document becomes its
+language; it is broadcast in blocks of at most ``LANGUAGES_AT_ONCE`` languages, 32 MB
+each. Every block is one pass over the texts that keeps the best score so far, so any
+number of languages is scored; up to that many take one pass. Names become numbers
+before the counts of a block are fetched, at most ``LANGUAGES_AT_ONCE`` times the
+buckets, 16 bytes each. A document becomes its
 distinct buckets and their counts, a batch of documents one sparse matrix, and the
 product gives all scores, ``CELLS`` matrix cells at a time.
 
@@ -16,6 +18,7 @@ empty table gives no rows; other columns, whatever their names, stay in ``row``.
 """
 
 import sys
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -29,7 +32,7 @@ from beatgrid.sources.staging import materialise
 ORDERS = 3
 BUCKET_BITS = 15
 SMOOTH = 0.5
-MAX_LANGUAGES = 256
+LANGUAGES_AT_ONCE = 256
 PIECE = 1 << 20
 DOCS_AT_ONCE = 256
 CELLS = 1 << 22
@@ -72,8 +75,8 @@ def gram_counts(text: str, letters: np.ndarray) -> np.ndarray | None:
     return total if any_letter else None
 
 
-def learn(docs: DataFrame, text: str = "text", language: str = "lang", id_column: str = "doc_id") -> Model:
-    """Count every document that may be learned from."""
+def gram_table(docs: DataFrame, text: str = "text", language: str = "lang", id_column: str = "doc_id") -> DataFrame:
+    """``(l, bucket, n)``, written: n-gram counts of every document that may be learned from; the last bucket counts documents."""
     known = docs.filter(F.col(language).isNotNull() & ~is_held_out(id_column)).select(F.col(language).alias("l"), F.col(text).alias("t"))
 
     def work(batches):
@@ -89,20 +92,22 @@ def learn(docs: DataFrame, text: str = "text", language: str = "lang", id_column
             at = np.flatnonzero(held)
             yield pa.RecordBatch.from_arrays([pa.array([name] * at.size, pa.string()), pa.array(at.astype(np.int32)), pa.array(held[at])], names=["l", "bucket", "n"])
 
-    # Written once: the names and the counts both read it, and the corpus is counted only once.
-    sums = materialise(map_batches(known, work, "l string, bucket int, n long").groupBy("l", "bucket").agg(F.sum("n").alias("n")), "grams")
-    names = sums.select("l").distinct().limit(MAX_LANGUAGES + 1).toArrow().column("l").to_pylist()
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"over {MAX_LANGUAGES} languages: the matrix would not be bounded")
-    languages = sorted(names)
-    counts = np.zeros(((1 << BUCKET_BITS) + 1, len(languages)))
-    if languages:
+    # Written once: the corpus is counted only once, however often the counts are read.
+    return materialise(map_batches(known, work, "l string, bucket int, n long").groupBy("l", "bucket").agg(F.sum("n").alias("n")), "grams")
+
+
+def models(grams: DataFrame, at_once: int = LANGUAGES_AT_ONCE) -> Iterator[Model]:
+    """Log-probabilities of the languages by name, in blocks of at most ``at_once``, one block in memory at a time."""
+    documents = {r["l"]: r["n"] for r in grams.filter(F.col("bucket") == 1 << BUCKET_BITS).select("l", "n").collect()}
+    names, total = sorted(documents), max(sum(documents.values()), 1)
+    for start in range(0, len(names), at_once):
+        languages = names[start:start + at_once]
+        counts = np.zeros((1 << BUCKET_BITS, len(languages)))
         place = F.array_position(F.array(*[F.lit(name) for name in languages]), F.col("l")).cast("int") - 1
-        found = sums.select("bucket", place.alias("place"), "n").toArrow()
+        found = grams.select("bucket", place.alias("place"), "n").filter((F.col("place") >= 0) & (F.col("bucket") < 1 << BUCKET_BITS)).toArrow()
         counts[found.column("bucket").to_numpy(), found.column("place").to_numpy()] = found.column("n").to_numpy()
-    grams, documents = counts[:-1], counts[-1]
-    log_p = np.log(grams + SMOOTH) - np.log(grams.sum(axis=0) + SMOOTH * (1 << BUCKET_BITS))
-    return Model(languages, np.log(documents / max(documents.sum(), 1)), log_p.astype(np.float32))
+        log_p = np.log(counts + SMOOTH) - np.log(counts.sum(axis=0) + SMOOTH * (1 << BUCKET_BITS))
+        yield Model(languages, np.log(np.array([documents[name] for name in languages]) / total), log_p.astype(np.float32))
 
 
 def products(buckets: list[np.ndarray], counts: list[np.ndarray], model: Model) -> np.ndarray:
@@ -111,10 +116,10 @@ def products(buckets: list[np.ndarray], counts: list[np.ndarray], model: Model)
     return np.add.reduceat(model.log_p[np.concatenate(buckets)] * np.concatenate(counts)[:, None], starts, axis=0)
 
 
-def best(texts: list[str | None], model: Model, letters: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """Likeliest language and its probability for each text, by one sparse product."""
+def best(texts: list[str | None], model: Model, letters: np.ndarray) -> tuple[list[str | None], np.ndarray, np.ndarray]:
+    """Likeliest language of the block for each text, its score, and the logarithm of the sum over the block, by one sparse product."""
     counted = [gram_counts(t, letters) if t else None for t in texts]
-    named, chance = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    named, top, sums = [None] * len(texts), np.full(len(texts), -np.inf), np.full(len(texts), -np.inf)
     rows = [i for i, c in enumerate(counted) if c is not None]
     if rows and model.languages:
         at = [np.flatnonzero(counted[i]) for i in rows]
@@ -122,31 +127,51 @@ def best(texts: list[str | None], model: Model, letters: np.ndarray) -> tuple[li
         size = np.cumsum([a.size * len(model.languages) for a in at])
         parts = np.split(np.arange(len(rows)), np.unique(np.searchsorted(size, np.arange(CELLS, size[-1], CELLS))))
         scores = np.concatenate([products([at[i] for i in part], [value[i] for i in part], model) for part in parts if part.size]) + model.prior
-        scores -= scores.max(axis=1, keepdims=True)
-        top, p = scores.argmax(axis=1), 1 / np.exp(scores).sum(axis=1)
+        place, highest = scores.argmax(axis=1), scores.max(axis=1)
+        top[rows], sums[rows] = highest, highest + np.log(np.exp(scores - highest[:, None]).sum(axis=1))
         for k, i in enumerate(rows):
-            named[i], chance[i] = model.languages[top[k]], p[k]
-    return named, chance
+            named[i] = model.languages[place[k]]
+    return named, top, sums
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns but the text packed in ``row``, with ``lang_pred`` and ``score``."""
-    rest = [c for c in docs.columns if c != text]
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.col(text).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
+def identify(docs: DataFrame, blocks: Iterable[Model], text: str = "text") -> DataFrame:
+    """All columns but the text packed in ``row``, with ``lang_pred`` and ``score``.
 
+    Every block of languages is one pass over the texts, which carries the best so far
+    and the sum of all; up to ``LANGUAGES_AT_ONCE`` languages are one pass.
+    """
+    rest = [c for c in docs.columns if c != text]
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.col(text).alias("text"), F.lit(None).cast("string").alias("named"),
+                        F.lit(float("-inf")).alias("top"), F.lit(float("-inf")).alias("sums"))
+    schema = f"row {found.schema['row'].dataType.simpleString()}, text string, named string, top double, sums double"
+    blocks = iter(blocks)
+    model = next(blocks, None)
+    while model is not None:
+        following = next(blocks, None)
+        found = map_batches(found, _scorer(docs.sparkSession.sparkContext.broadcast(tuple(model)), following is not None), schema)
+        model = following
+        if model is not None:
+            found = materialise(found, "languages")
+    return found.select("row", F.coalesce("named", F.lit(UNKNOWN)).alias("lang_pred"),
+                        F.when(F.col("named").isNotNull(), F.exp(F.col("top") - F.col("sums"))).otherwise(0.0).alias("score"))
+
+
+def _scorer(shared, keep_text: bool):
     def work(batches):
-        letters, shared_model = letter_table(), Model(*shared.value)
+        letters, model = letter_table(), Model(*shared.value)
         for batch in batches:
             for i in range(0, batch.num_rows, DOCS_AT_ONCE):
                 part = batch.slice(i, DOCS_AT_ONCE)
-                named, chance = best(part.column(1).to_pylist(), shared_model, letters)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(named, pa.string()), pa.array(chance)], names=["row", "lang_pred", "score"])
-
-    return map_batches(packed, work, f"row {packed.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+                named, top, sums = best(part.column(1).to_pylist(), model, letters)
+                before = part.column(3).to_numpy()
+                named = [new if t > b else old for new, old, t, b in zip(named, part.column(2).to_pylist(), top, before)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1) if keep_text else pa.nulls(part.num_rows, pa.string()), pa.array(named, pa.string()), pa.array(np.maximum(top, before)),
+                     pa.array(np.logaddexp(sums, part.column(4).to_numpy()))], names=["row", "text", "named", "top", "sums"])
+    return work
 
 
 def op9_languages(docs: DataFrame) -> DataFrame:
     """Predicted language of every document."""
-    found = identify(docs.select("doc_id", "text"), learn(docs))
+    found = identify(docs.select("doc_id", "text"), models(gram_table(docs)))
     return found.select("row.doc_id", is_held_out("row.doc_id").alias("held_out"), "lang_pred", "score")

@@ -34,7 +34,8 @@ LEAST_PAGES = 5
 
 # Fixed values of HTML: kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript iframe textarea title xmp noembed noframes template svg math".split())
+RAW = frozenset("script style noscript iframe textarea title xmp noembed noframes template".split())
+DRAWING = frozenset(["svg", "math"])
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split())
@@ -74,6 +75,21 @@ def attributes_of(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape((m[2] or "").strip("\"'")).lower() for m in ATTRIBUTE.finditer(text)}
 
 
+def self_closed(attributes: str | None) -> bool:
+    """Whether a tag ends in a slash that is no part of a value without quotes."""
+    return bool(attributes) and attributes.endswith("/") and (len(attributes) == 1 or attributes[-2] in " \t\r\n\f\"'" or "=" not in attributes.split()[-1])
+
+
+def after_drawing(page: str, tag: str, at: int) -> int:
+    """Where a drawing that opened before ``at`` ends, nested ones included; ``at`` itself if it is never closed."""
+    depth = 1
+    for m in re.compile(rf"<(/?){tag}\b([^>]*)>", re.I).finditer(page, at):
+        depth += -1 if m[1] else 0 if self_closed(m[2]) else 1
+        if not depth:
+            return m.end()
+    return at
+
+
 def parse(page: str) -> list[Node]:
     """All elements in page order; the first one is the root. Text is in ``parts`` beside the elements."""
     root = Node("html", {}, None)
@@ -97,6 +113,9 @@ def parse(page: str) -> list[Node]:
             continue
         if tag == "html":
             continue
+        if tag in DRAWING:
+            at = at if self_closed(m[3]) else after_drawing(page, tag, at)
+            continue
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
             at = close.end() if close else end
@@ -121,12 +140,12 @@ def parse(page: str) -> list[Node]:
         node = Node(tag, attributes_of(m[3]), here)
         here.parts.append(node)
         nodes.append(node)
-        if tag not in VOID and not (m[3] or "").endswith("/"):
+        if tag not in VOID and not self_closed(m[3]):
             here = node
     return nodes
 
 
-def is_furniture(node: Node, in_main: bool, holds_main: bool = False) -> bool:
+def is_furniture(node: Node, in_main: bool, holds_main: bool = False, by_words: bool = True) -> bool:
     """Whether tag, role or class say that the element is no article text.
 
     An element around a main part that stays is judged by its tag and by whether it is
@@ -145,6 +164,8 @@ def is_furniture(node: Node, in_main: bool, holds_main: bool = False) -> bool:
         return False
     if a.get("role") in NOT_TEXT_ROLES:
         return True
+    if not by_words:
+        return False
     words = set(WORD.findall(a.get("class", "") + " " + a.get("id", "")))
     unwanted = words & NOT_TEXT_WORDS
     if not in_main:
@@ -160,13 +181,13 @@ def in_main_flags(nodes: list[Node]) -> dict[int, bool]:
     return flags
 
 
-def furniture(nodes: list[Node], in_main: dict[int, bool]) -> set[int]:
-    """The elements that go by name; children are judged before their parents."""
+def furniture(nodes: list[Node], in_main: dict[int, bool], by_words: bool = True) -> set[int]:
+    """The elements that go by name; children are judged before their parents. Words of class and id may be left out."""
     gone: set[int] = set()
     holds: set[int] = set()
     for node in reversed(nodes):
         is_main = id(node) in holds or node.tag in ("main", "article") or node.attributes.get("role") == "main"
-        if is_furniture(node, in_main[id(node)], is_main):
+        if is_furniture(node, in_main[id(node)], is_main, by_words):
             gone.add(id(node))
         elif is_main and node.parent is not None:
             holds.add(id(node.parent))
@@ -226,20 +247,30 @@ def page_hashes(page: str) -> tuple[list[int], list[int]]:
 
 
 def main_text(page: str, template: frozenset[int] | set[int]) -> str:
-    """The text that is left, one line per block."""
+    """The text that is left, one line per block.
+
+    Words of class and id are hints: where they leave a page without any text, they do not apply to it.
+    """
     nodes = parse(page)
     in_main = in_main_flags(nodes)
-    gone = furniture(nodes, in_main)
+    recurring = set()
     if template:
         hashes = subtree_hashes(nodes)
-        gone |= {id(n) for n in deletable(nodes, in_main) if hashes.get(id(n)) in template}
-    lost = below(nodes, gone)
+        recurring = {id(n) for n in deletable(nodes, in_main) if hashes.get(id(n)) in template}
+    for by_words in (True, False):
+        found = kept_blocks(nodes, below(nodes, furniture(nodes, in_main, by_words) | recurring))
+        if found:
+            break
+    return "\n".join(found)
+
+
+def kept_blocks(nodes: list[Node], lost: set[int]) -> list[str]:
     articles, mains = ([n for n in nodes if n.tag == tag and id(n) not in lost] for tag in ("article", "main"))
     roots = [n for n in mains if not any(p.tag == "main" for p in ancestors(n))]
     inside = all(any(p.tag == "main" for p in ancestors(n)) for n in articles)
     if not inside or not any(blocks(root, lost) for root in roots):
         roots = [nodes[0]]
-    return "\n".join(block for root in roots for block in blocks(root, lost))
+    return [block for root in roots for block in blocks(root, lost)]
 
 
 def ancestors(node: Node):

@@ -13,6 +13,7 @@ are not read.
 """
 
 import base64
+import re
 from collections.abc import Sequence
 
 import numpy as np
@@ -29,6 +30,10 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed: the pattern that the rank file's vocabulary was made with.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 RANGE = 4096
+#: White space as the pattern's engine knows it; its stack overflows on very long runs, which are therefore cut by hand.
+LONG_RUN = 100_000
+SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+LONG_SPACES = re.compile(f"(?<![{SPACES}])[{SPACES}]{{{LONG_RUN},}}+")
 
 
 def load_encoding(path: str = VOCABULARY) -> tiktoken.Encoding:
@@ -37,6 +42,22 @@ def load_encoding(path: str = VOCABULARY) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def encoded_length(text: str, encoding: tiktoken.Encoding) -> int:
+    """Number of tokens of the whole text.
+
+    By the pattern a run of white space is one piece without its last character, which
+    begins what follows; a run at the end is one piece. Long runs are cut out by that
+    rule and encoded as the pieces they are.
+    """
+    count, at = 0, 0
+    for run in LONG_SPACES.finditer(text) if len(text) >= LONG_RUN else ():
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        count += len(encoding.encode_to_numpy(text[at:run.start()], disallowed_special=()))
+        count += len(encoding._encode_single_piece(text[run.start():end]))
+        at = end
+    return count + len(encoding.encode_to_numpy(text[at:] if at else text, disallowed_special=()))
+
+
 def token_counts(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """All columns but the text packed in ``row``, with ``n_tokens``; the vocabulary lies at that path on each machine."""
     rest = [c for c in docs.columns if c != text]
@@ -45,7 +66,7 @@ def token_counts(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULA
     def work(batches):
         encoding = load_encoding(vocabulary)
         for batch in batches:
-            lengths = [len(encoding.encode_to_numpy(t.as_py() or "", disallowed_special=())) for t in batch.column(1)]
+            lengths = [encoded_length(t.as_py() or "", encoding) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(lengths, np.int64))], names=["row", "n_tokens"])
 
     counted = map_batches(packed, work, f"row {packed.schema['row'].dataType.simpleString()}, n_tokens long")
