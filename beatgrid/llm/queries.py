@@ -8,6 +8,7 @@ from beatgrid.llm import (
     langid_nb,
     merkle_manifest,
     mixing,
+    oracles,
     product_codes,
     quality_gbt,
     secret_scan,
@@ -48,4 +49,4 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["pipeline"] = _pipeline
-ORACLES: dict[str, str] = {}
+ORACLES = oracles.ORACLES
