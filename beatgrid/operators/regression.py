@@ -12,7 +12,7 @@ from itertools import combinations, combinations_with_replacement
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from beatgrid.functions.folds import hash_fold
@@ -134,7 +134,7 @@ def design(df: DataFrame, y: str, xs: Sequence[str], factor: str, levels: Sequen
 
 @dataclass
 class Fit:
-    """Slopes and their moments; the levels of the factor stay a table, one row per level."""
+    """Slopes and their moments; the levels of the factor stay a table, one row per level. ``base`` is the smallest one's row."""
     y: str
     xs: list[str]
     factor: str
@@ -142,6 +142,7 @@ class Fit:
     levels: DataFrame
     n: int
     n_levels: int
+    base: Row
     slopes: np.ndarray
     inverse: np.ndarray
     sse: float
@@ -174,6 +175,7 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], factor: str) -> Fit:
     mean_y = F.col(f"mean_{len(xs)}")
     within = levels.agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("levels"), (F.sum(F.col("n") * mean_y) / F.sum("n")).alias("mean"),
+        F.min_by(F.struct(*levels.columns), factor).alias("base"),
         *[F.sum(f"c_{i}_{j}").alias(f"w_{i}_{j}") for i, j in _upper(size)]).first()
     if not within["n"]:
         raise ValueError("no complete rows to fit")
@@ -181,7 +183,7 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], factor: str) -> Fit:
     w = _matrix(within, size, "w")
     inverse = _inverse(w[:-1, :-1])
     slopes = inverse @ w[:-1, -1]
-    return Fit(y, list(xs), factor, frame, levels, int(within["n"]), int(within["levels"]), slopes, inverse,
+    return Fit(y, list(xs), factor, frame, levels, int(within["n"]), int(within["levels"]), within["base"], slopes, inverse,
                float(w[-1, -1] - slopes @ w[:-1, -1]), float(w[-1, -1] + between))
 
 
@@ -203,8 +205,7 @@ def coefficients(fit: Fit) -> DataFrame:
     The smallest level is the base, and its effect the intercept; every other level is
     the difference from it. Errors come from the inverse of the centred cross products.
     """
-    p, variance = len(fit.xs), fit.variance
-    base = fit.levels.orderBy(fit.factor).first()
+    p, variance, base = len(fit.xs), fit.variance, fit.base
     base_means = [base[f"mean_{i}"] for i in range(p)]
     base_effect = base[f"mean_{p}"] - float(np.dot(fit.slopes, base_means))
     means, own = [F.col(f"mean_{i}") for i in range(p)], F.col(fit.factor) == F.lit(base[fit.factor])
