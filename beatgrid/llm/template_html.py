@@ -15,7 +15,7 @@ with an article beside it, what is left of the whole page.
 Defined cases: an absent or empty page has an empty text; pages with an absent or
 unreadable address have no host, so only the rules by name apply to them; equal pages
 of a host count once; unclosed, stray and wrongly nested tags are closed as browsers
-do for blocks; nesting may be of any depth; an empty table gives no rows; other
+do for blocks; a quote that is never closed ends with its tag; nesting may be of any depth; an empty table gives no rows; other
 columns, whatever their names, stay in ``row``.
 """
 
@@ -56,8 +56,10 @@ NOT_TEXT_WORDS = frozenset(
     "recommendations pagination pager paging widget widgets toolbar skip search login banner topbar".split())
 MAIN_SAFE_WORDS = frozenset(["header", "notice", "banner", "menu", "search", "reply", "related", "promotion", "subscription"])
 
+# A quote opens a value after an equals sign alone, and closes it only where the tag can go on; else the tag ends at the next bracket.
 TOKEN = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*)>?|[^<]+|<""", re.S)
+    r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)"""
+    r"""((?:[^=>]++|=\s*(?:"[^"]*"|'[^']*')(?=[\s/>]|[\w:.\-]+\s*=|\Z)|=)*+)>?|[^<]+|<""", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|\Z)""", re.I)
 WORD = re.compile(r"[a-z0-9]+")
 
