@@ -4,8 +4,13 @@ A group is cut into buckets by a spread value of its rows, so that a bucket hold
 a few thousand rows. Bucket sizes are counted, their running sums are the starts
 of the buckets, and a window numbers the rows of one bucket. A group with a third
 of all rows has as many buckets as its rows need.
+
+Rows of one spread value cannot be parted that way. Buckets that hold very many are
+cut a second time: their rows, numbered for ties, are written and dealt by ranges of
+the order itself, and the counts of those ranges are the starts inside the bucket.
 """
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,13 +19,13 @@ from pyspark.sql import functions as F
 
 from beatgrid.sources.staging import materialise
 
-BUCKET_ROWS = 5000
+BUCKET_ROWS, HOT_ROWS = 5000, 50_000
 SPREAD = 1 << 32
 
 
 def with_positions(rows: DataFrame, light: DataFrame, group: Sequence[str], spread: str,
                    order: Sequence[Column | str], name: str, bucket_rows: int = BUCKET_ROWS,
-                   group_start: DataFrame | None = None) -> DataFrame:
+                   group_start: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``name``: the zero-based position in the row's group.
 
     ``light`` has the same rows with the group and spread columns only; it is read
@@ -28,7 +33,8 @@ def with_positions(rows: DataFrame, light: DataFrame, group: Sequence[str], spre
     from 0 up to ``SPREAD``; rows are ordered by their bucket of it, then by
     ``order``. Group columns hold no nulls. ``group_start`` may add a first position
     per group, in a column ``__start``. Rows that tie in ``order`` get neighbouring
-    positions in no particular order. No rows give no rows.
+    positions in no particular order. Buckets of over ``hot_rows`` rows are cut into
+    ranges of about that many. No rows give no rows.
     """
     keys, n = list(group), F.count(F.lit(1))
     groups = light.groupBy(*keys).agg(n.alias("__n")).withColumn("__buckets", F.ceil(F.col("__n") / bucket_rows))
@@ -41,11 +47,31 @@ def with_positions(rows: DataFrame, light: DataFrame, group: Sequence[str], spre
     before = W.partitionBy(*keys).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = (light.join(groups, keys).select(*keys, bucket, "__start")
               .groupBy(*keys, "__bucket").agg(n.alias("__n"), F.first("__start").alias("__start"))
-              .select(*keys, "__bucket",
+              .select(*keys, "__bucket", "__n",
                       (F.col("__start") + F.coalesce(F.sum("__n").over(before), F.lit(0))).alias("__offset")))
     starts = materialise(starts, "starts")
+    located = rows.join(groups.drop("__start"), keys).withColumn("__bucket", bucket).drop("__buckets")
+    hot = starts.filter(F.col("__n") > hot_rows)
+    in_hot = hot.agg(F.sum("__n")).first()[0]
     inside = W.partitionBy(*keys, "__bucket").orderBy(*order)
-    return (rows.join(groups.drop("__start"), keys).withColumn("__bucket", bucket).drop("__buckets")
-            .join(starts, [*keys, "__bucket"])
+    cool = (located.join(starts.filter(F.col("__n") <= hot_rows), [*keys, "__bucket"])
             .withColumn(name, F.col("__offset") + F.row_number().over(inside) - 1)
-            .drop("__bucket", "__offset"))
+            .drop("__bucket", "__offset", "__n"))
+    if in_hot is None:
+        return cool
+    chosen = located.join(hot.drop("__n"), [*keys, "__bucket"])
+    return cool.unionByName(_cut_by_order(chosen, keys, order, name, math.ceil(in_hot / hot_rows)))
+
+
+def _cut_by_order(rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str, ranges: int) -> DataFrame:
+    """The positions inside hot buckets; ties are numbered and written first, so that reruns of a task deal them alike."""
+    tied = materialise(rows.withColumn("__tie", F.monotonically_increasing_id()), "hot")
+    whole = [*keys, "__bucket"]
+    dealt = materialise(tied.repartitionByRange(ranges, *whole, *order, "__tie").withColumn("__range", F.spark_partition_id()), "ranges")
+    before = W.partitionBy(*whole).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    starts = (dealt.groupBy(*whole, "__range").agg(F.count(F.lit(1)).alias("__n"))
+              .withColumn("__earlier", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n"))
+    inside = W.partitionBy(*whole, "__range").orderBy(*order, "__tie")
+    return (dealt.join(starts, [*whole, "__range"])
+            .withColumn(name, F.col("__offset") + F.col("__earlier") + F.row_number().over(inside) - 1)
+            .drop("__bucket", "__offset", "__range", "__earlier", "__tie"))
