@@ -1,7 +1,7 @@
 """Nearest neighbours by an adaptive scan of dimensions inside probed lists.
 
-An inverted-file index: centroids are fitted on at most ``SAMPLE`` vectors (those with
-the smallest hash of their id), and every vector is put in the list of its nearest
+An inverted-file index: centroids are fitted on at most ``SAMPLE`` vectors (one
+an id, chosen by a hash of it), and every vector is put in the list of its nearest
 centroid. A query visits the lists nearest to it. There, vectors are rotated by one
 random orthogonal matrix and read in blocks of columns. After each block, the partial
 distance over the d columns read so far estimates the whole distance; a candidate goes
@@ -41,6 +41,7 @@ K, SEED = 10, 7
 CALIBRATION, TARGET = 256, 0.96
 BLOCK_ROWS, COLUMNS, AT_ONCE = 8192, 16, 512
 EPSILON = 2.1
+HASHES = 1 << 32
 
 
 def usable(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -62,6 +63,19 @@ def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a ** 2).sum(axis=1)[:, None] - 2 * a @ b.T + (b ** 2).sum(axis=1)[None, :]
 
 
+def draw(good: DataFrame, distinct: int, sample: int) -> DataFrame:
+    """At most ``sample`` vectors, one an id; only about twice as many leave their partitions."""
+    cut = min(HASHES, math.ceil(2 * sample / distinct * HASHES))
+    near = good.filter(F.pmod(F.xxhash64("id"), F.lit(HASHES)) < cut).groupBy("id").agg(F.min("v").alias("v"))
+    return near.orderBy(F.xxhash64("id"), "id").limit(sample)
+
+
+def slices(batch: pa.RecordBatch):
+    """A batch in pieces of a few hundred rows, which bounds the distances held at once."""
+    for start in range(0, batch.num_rows, AT_ONCE):
+        yield batch.slice(start, AT_ONCE)
+
+
 def fit_centroids(sample: np.ndarray, lists: int, seed: int = SEED, rounds: int = ROUNDS) -> np.ndarray:
     """Lloyd's algorithm; a list left empty keeps its centroid."""
     centroids = sample[np.random.default_rng(seed).choice(len(sample), lists, replace=False)]
@@ -140,10 +154,10 @@ def search(vectors: DataFrame, is_query, k: int = K, target: float = TARGET, sam
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
     good = materialise(usable(vectors, id_column, vector), "vectors")
-    total = good.count()
-    drawn = good.orderBy(F.xxhash64("id"), "id", "v").limit(sample).toArrow()
+    total, distinct = good.agg(F.count(F.lit(1)), F.count_distinct("id")).first()
     if not total:
         return spark.createDataFrame([], schema)
+    drawn = draw(good, distinct, sample).toArrow()
     points = rows_of(drawn.column("v"))
     lists = max(1, min(MAX_LISTS, round(math.sqrt(total)), len(points) // 4))
     centroids = fit_centroids(points, lists)
@@ -151,10 +165,9 @@ def search(vectors: DataFrame, is_query, k: int = K, target: float = TARGET, sam
     shared = spark.sparkContext.broadcast((centroids, turn))
 
     def assign(batches):
-        for batch in batches:
-            x = rows_of(batch.column(1))
-            nearest = squared(x, shared.value[0]).argmin(axis=1) if len(x) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest.astype(np.int32))], names=["id", "v", "list"])
+        for part in (part for batch in batches for part in slices(batch)):
+            nearest = squared(rows_of(part.column(1)), shared.value[0]).argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nearest.astype(np.int32))], names=["id", "v", "list"])
 
     assigned = materialise(map_batches(good, assign, "id long, v array<double>, list int"), "lists")
     probes = lists_needed(assigned, drawn.column("id").to_numpy()[:CALIBRATION], points[:CALIBRATION], centroids, k, target)
@@ -164,14 +177,13 @@ def search(vectors: DataFrame, is_query, k: int = K, target: float = TARGET, sam
     asked = assigned.filter(is_query(F.col("id"))).groupBy("id").agg(F.min("v").alias("v"))
 
     def visit(batches):
-        for batch in batches:
-            x = rows_of(batch.column(1))
-            order = squared(x, shared.value[0]).argsort(axis=1, kind="stable") if len(x) else np.zeros((0, lists), np.int64)
+        for part in (part for batch in batches for part in slices(batch)):
+            order = squared(rows_of(part.column(1)), shared.value[0]).argsort(axis=1, kind="stable")
             # A list may be all copies of the query's id, so candidates are counted without it only in the end.
             reached = sizes[order].cumsum(axis=1)
             wanted = np.maximum(probes, (reached < 4 * k + 1).sum(axis=1) + 1)
             chosen = [order[i, :n].astype(np.int32) for i, n in enumerate(wanted)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chosen, pa.list_(pa.int32()))], names=["id", "v", "lists"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(chosen, pa.list_(pa.int32()))], names=["id", "v", "lists"])
 
     visits = materialise(map_batches(asked, visit, "id long, v array<double>, lists array<int>")
                          .select("id", "v", F.explode("lists").alias("list")), "visits")
