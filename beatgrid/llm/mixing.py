@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from beatgrid.llm.common import WORD, hex_number, id_key
-from beatgrid.llm.positions import SPREAD, with_positions
+from beatgrid.llm.positions import RANGE_ROWS, SPREAD, with_earlier_sums, with_positions
 from beatgrid.sources.staging import materialise
 
 WEIGHTS = (5, 2, 1)
@@ -46,29 +46,30 @@ def source_key(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source))
 
 
-def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = LIMIT) -> DataFrame:
+def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = LIMIT,
+                   range_rows: int = RANGE_ROWS) -> DataFrame:
     """Targets of sources from ``(__source, __size_of_source)``, one row per source.
 
     Targets share the total by weight; none exceeds ``limit`` times the source, and
     what exceeds is shared again among the others. The sources at their limit are
     those that come first by limit per weight, so one ordered pass finds them: with
-    the earlier ones at their limits, the rest shares what is left.
+    the earlier ones at their limits, the rest shares what is left. Ranks and running
+    sums go by ranges of sources, so that sources may be as many as web domains.
     """
-    rank = F.row_number().over(W.orderBy("__source"))
-    weighed = (sizes.withColumn("__weight", F.element_at(F.array(*map(F.lit, weights)), (rank - 1) % len(weights) + 1))
-               .withColumn("__cap", limit * F.col("__size_of_source")))
-    by_cap = W.orderBy(F.col("__cap") / F.col("__weight"), "__source")
-    earlier, everyone = by_cap.rowsBetween(W.unboundedPreceding, -1), W.partitionBy(F.lit(1))
-    left = (weighed.withColumn("__left", F.sum("__size_of_source").over(everyone)
-                               - F.coalesce(F.sum("__cap").over(earlier), F.lit(0)))
-            .withColumn("__open", F.sum("__weight").over(everyone)
-                        - F.coalesce(F.sum("__weight").over(earlier), F.lit(0))))
-    free = F.col("__cap") * F.col("__open") > F.col("__left") * F.col("__weight")
-    first = F.min(F.when(free, F.struct(F.col("__cap") / F.col("__weight"), "__source", "__left", "__open"))).over(everyone)
-    marked = left.withColumn("__free", free).withColumn("__first", first)
-    capped = F.col("__first").isNull() | ~F.col("__free")
-    share = F.col("__first.__left") * F.col("__weight") / F.col("__first.__open")
-    return marked.select("__source", "__size_of_source", F.when(capped, F.col("__cap").cast("double")).otherwise(share).alias("__target"))
+    ranked = with_earlier_sums(sizes, ["__source"], {"__rank": F.lit(1)}, range_rows)
+    weighed = (ranked.withColumn("__weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("__rank") % len(weights)).cast("int") + 1))
+                     .withColumn("__cap", limit * F.col("__size_of_source")).drop("__rank"))
+    per_weight = F.col("__cap") / F.col("__weight")
+    left = with_earlier_sums(weighed.withColumn("__turn", per_weight), ["__turn", "__source"],
+                             {"__caps": F.col("__cap"), "__weights": F.col("__weight")}, range_rows)
+    whole, shares = weighed.agg(F.coalesce(F.sum("__size_of_source"), F.lit(0)), F.coalesce(F.sum("__weight"), F.lit(0))).first()
+    left = materialise(left.withColumn("__left", whole - F.col("__caps")).withColumn("__open", shares - F.col("__weights")), "turns")
+    wide = lambda c: F.col(c).cast("decimal(18,0)")  # noqa: E731 - products of sums may pass a long
+    free = wide("__cap") * wide("__open") > wide("__left") * wide("__weight")
+    first = left.filter(free).agg(F.min(F.struct("__turn", "__source", "__left", "__open"))).first()[0]
+    share = F.lit(None) if first is None else F.lit(first["__left"]) * F.col("__weight") / first["__open"]
+    capped = F.lit(True) if first is None else ~free
+    return left.select("__source", "__size_of_source", F.when(capped, F.col("__cap").cast("double")).otherwise(share).alias("__target"))
 
 
 def with_copies(docs: DataFrame, text: str | None = "text", source: str = "source", id_column: str = "doc_id",

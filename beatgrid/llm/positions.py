@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from beatgrid.sources.staging import materialise
 
-BUCKET_ROWS, HOT_ROWS = 5000, 50_000
+BUCKET_ROWS, HOT_ROWS, RANGE_ROWS = 5000, 50_000, 10_000
 SPREAD = 1 << 32
 
 
@@ -75,3 +75,19 @@ def _cut_by_order(rows: DataFrame, keys: Sequence[str], order: Sequence[Column |
     return (dealt.join(starts, [*whole, "__range"])
             .withColumn(name, F.col("__offset") + F.col("__earlier") + F.row_number().over(inside) - 1)
             .drop("__bucket", "__offset", "__range", "__earlier", "__tie"))
+
+
+def with_earlier_sums(rows: DataFrame, order: Sequence[Column | str], sums: dict[str, Column], range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Add, under each name of ``sums``, its sum over all rows before this one in ``order``, which has no ties.
+
+    Rows are dealt by ranges of about ``range_rows`` and written; only the sums of the
+    ranges, one row each, meet in one task.
+    """
+    ranges = max(1, math.ceil(rows.count() / range_rows))
+    dealt = materialise(rows.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id()), "ranges")
+    before = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    whole = dealt.groupBy("__range").agg(*[F.sum(c).alias(f"__whole_{name}") for name, c in sums.items()])
+    starts = whole.select("__range", *[F.coalesce(F.sum(f"__whole_{name}").over(before), F.lit(0)).alias(f"__start_{name}") for name in sums])
+    inside = W.partitionBy("__range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    summed = dealt.join(starts, "__range")
+    return summed.select(*rows.columns, *[(F.col(f"__start_{name}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(name) for name, c in sums.items()])

@@ -73,3 +73,29 @@ def test_open_quotes_end_with_their_tag():
         ('<div title="x > y">one</div><p title="z">two</p>', "one\ntwo"),
     ):
         assert template_html.main_text(page, frozenset()) == text, page
+
+
+def plain_targets(sizes, weights=(5, 2, 1), limit=3):
+    """Share, cap and reshare until nothing is over its limit."""
+    weigh = {s: weights[i % len(weights)] for i, s in enumerate(sorted(sizes))}
+    capped, total = set(), sum(sizes.values())
+    while True:
+        left = total - sum(limit * sizes[s] for s in capped)
+        shares = sum(weigh[s] for s in sizes if s not in capped)
+        over = {s for s in sizes if s not in capped and left * weigh[s] / shares >= limit * sizes[s]}
+        if not over:
+            return {s: limit * sizes[s] if s in capped else left * weigh[s] / shares for s in sizes}
+        capped |= over
+
+
+def test_targets_of_very_many_sources(spark):
+    rng = random.Random(8)
+    sizes = {f"0host{i:05d}": int(rng.paretovariate(0.7) * 5) for i in range(3000)}
+    sizes["1"] = 0
+    df = spark.createDataFrame(list(sizes.items()), "__source string, __size_of_source long")
+    expected = plain_targets(sizes)
+    for range_rows in (100, 10**6):
+        found = {r["__source"]: r["__target"] for r in mixing.source_targets(df, range_rows=range_rows).collect()}
+        assert found.keys() == expected.keys()
+        assert all(abs(found[s] - expected[s]) <= 1e-6 * max(1, expected[s]) for s in sizes)
+    assert mixing.source_targets(df.limit(0)).collect() == []
