@@ -88,14 +88,14 @@ def with_copies(docs: DataFrame, text: str | None = "text", source: str = "sourc
     light = materialise(rows.select("__source", "__class", "__spread", "__size"), "sizes")
     classes = materialise(light.groupBy("__source", "__class").agg(F.count(F.lit(1)).alias("__n"), F.sum("__size").alias("__words")), "classes")
     sources = classes.groupBy("__source").agg(F.sum("__words").alias("__size_of_source"))
-    targets = materialise(source_targets(sources, weights, limit), "targets")
+    targets = source_targets(sources, weights, limit)
     before = W.partitionBy("__source").orderBy("__class").rowsBetween(W.unboundedPreceding, -1)
-    starts = classes.select("__source", "__class", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    starts = classes.select("__source", "__class", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")).join(targets, "__source")
     placed = with_positions(rows, light.drop("__size"), ["__source", "__class"], "__spread", ["__size", "__id"], "__at", group_start=starts)
     rate = F.when(F.col("__size_of_source") > 0, F.col("__target") / F.col("__size_of_source")).otherwise(0.0)
     offset = F.floor(hex_number(F.md5(F.concat(F.lit(seed + ":"), F.col("__source"))), 1, 8) * STEPS / SPREAD) / STEPS
     crossed = F.floor(F.col("__rate") * (F.col("__at") + 1) + F.col("__offset")) - F.floor(F.col("__rate") * F.col("__at") + F.col("__offset"))
-    return (placed.join(targets, "__source").withColumn("__rate", rate).withColumn("__offset", offset)
+    return (placed.withColumn("__rate", rate).withColumn("__offset", offset)
             .select("row", F.col("__size").alias("size"), F.col("__size_of_source").alias("source_size"),
                     F.col("__target").alias("target"), F.least(crossed, F.lit(limit)).cast("long").alias("copies")))
 

@@ -63,6 +63,19 @@ def test_shards_and_mix_do_not_depend_on_the_cut(spark, monkeypatch):
     assert sorted(map(repr, mixing.op7_source_mix(docs).collect())) == sorted(map(repr, cut))
 
 
+def test_many_groups_find_their_buckets_without_a_broadcast(spark, monkeypatch):
+    docs = spark.createDataFrame(rows_with_hot_id(400), SCHEMA)
+    whole_shards, whole_mix = all_rows(sharding.op8_rendezvous_shards(docs)), all_rows(mixing.op7_source_mix(docs))
+    monkeypatch.setattr(positions, "BROADCAST_BYTES", -1)
+    assert all_rows(sharding.op8_rendezvous_shards(docs)) == whole_shards
+    assert all_rows(mixing.op7_source_mix(docs)) == whole_mix
+    light = docs.select("source", F.lit(7).cast("long").alias("s")).na.fill("", ["source"])
+    joined = positions._bucket_finder(light, light.groupBy("source").agg(F.lit(3).alias("__buckets")), ["source"], "s")(light)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "__part" in plan and "strategy=broadcast" not in plan
+    assert joined.count() == docs.count()
+
+
 def test_open_quotes_end_with_their_tag():
     for page, text in (
         ('<p>a <a href="foo>link</a> tail</p><p>b "q" c</p>', 'a link tail\nb "q" c'),
