@@ -3,6 +3,12 @@
 Each stage takes all documents that its predecessor kept, and every stage but the
 last returns the columns of documents. Between stages the documents are written to
 the shared folder and read again, which also cuts the lineage.
+
+Defined cases: an absent text counts as empty, so it is scored, has fingerprint zero
+and no words, and its size in the mix is 0; rows without id are never learned from
+and are kept last of their group; of repeated rows one stays; an empty table gives
+no rows; further columns are kept by every stage, except that the last one puts its
+own ``shard`` and ``slot`` in place of columns of those names.
 """
 
 from pyspark.sql import DataFrame, SparkSession
