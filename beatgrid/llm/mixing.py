@@ -67,7 +67,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, limit: in
     wide = lambda c: F.col(c).cast("decimal(18,0)")  # noqa: E731 - products of sums may pass a long
     free = wide("__cap") * wide("__open") > wide("__left") * wide("__weight")
     first = left.filter(free).agg(F.min(F.struct("__turn", "__source", "__left", "__open"))).first()[0]
-    share = F.lit(None) if first is None else F.lit(first["__left"]) * F.col("__weight") / first["__open"]
+    # A literal below 2^31 would be an int, whose product with a weight may not be one.
+    share = F.lit(None) if first is None else F.lit(first["__left"]).cast("long") * F.col("__weight") / first["__open"]
     capped = F.lit(True) if first is None else ~free
     return left.select("__source", "__size_of_source", F.when(capped, F.col("__cap").cast("double")).otherwise(share).alias("__target"))
 

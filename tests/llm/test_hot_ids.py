@@ -112,3 +112,11 @@ def test_targets_of_very_many_sources(spark):
         assert found.keys() == expected.keys()
         assert all(abs(found[s] - expected[s]) <= 1e-6 * max(1, expected[s]) for s in sizes)
     assert mixing.source_targets(df.limit(0)).collect() == []
+
+
+def test_targets_of_a_billion_words(spark):
+    """What the sources share times a weight is over 2^31, while itself below."""
+    sizes = {"0a": 500_000_000, "0b": 300_000_000, "0c": 200_000_000}
+    df = spark.createDataFrame(list(sizes.items()), "__source string, __size_of_source long")
+    found = {r["__source"]: r["__target"] for r in mixing.source_targets(df).collect()}
+    assert found == plain_targets(sizes)
