@@ -97,11 +97,20 @@ def _fraction_column(a: Column, b: Column, x: Column, steps: Column) -> Column:
     return F.transform(F.array(F.struct(a.alias("a"), b.alias("b"), x.alias("x"), steps.alias("steps"))), fold)[0]
 
 
+def _fraction_steps(t: Column, direct: Column) -> Column:
+    """Steps after which the fraction of ``t_tail_column`` stands still, for any degrees of freedom.
+
+    With one parameter at 1/2 it tends, as the other grows, to the fraction of the incomplete gamma
+    integral: the rest after m steps falls as exp(-4 sqrt(m t^2 / 2)), and on the other side of the
+    switch faster. ``t^2`` is over 1 on the direct side.
+    """
+    return F.when(direct, F.lit(20) + F.lit(180.0) / (t * t)).otherwise(20).cast("int")
+
+
 def t_tail_column(t: Column, df: Column) -> Column:
     """Two-sided P(\\|T\\| > \\|t\\|) with ``df`` degrees of freedom, missing where either is.
 
-    The number of steps grows with the square root of ``df``, as the convergence of the
-    continued fraction demands.
+    The steps of the continued fraction depend on ``t`` alone, see ``_fraction_steps``.
     """
     df = df.cast("double")
     a, half = df / 2, F.lit(0.5)
@@ -111,8 +120,8 @@ def t_tail_column(t: Column, df: Column) -> Column:
     ratio = (F.when(a < 50, log_gamma(a + half) - log_gamma(a))
              .otherwise(half * F.ln(a) - 1 / (a * 8) + 1 / (F.pow(a, F.lit(3.0)) * 192) - 1 / (F.pow(a, F.lit(5.0)) * 640)))
     front = F.exp(ratio - F.lit(math.lgamma(0.5)) - a * F.log1p(t * t / df) + half * F.ln(y))
-    steps = (F.lit(40) + F.sqrt(df) * 2).cast("int")
     direct = x < (a + 1) / (a + F.lit(2.5))
+    steps = _fraction_steps(t, direct)
     # One fraction serves both sides of the switch: its arguments change places.
     fraction = _fraction_column(F.when(direct, a).otherwise(half), F.when(direct, half).otherwise(a),
                                 F.when(direct, x).otherwise(y), steps)

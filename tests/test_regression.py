@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from beatgrid.functions.folds import hash_fold
-from beatgrid.functions.tails import f_tail, incomplete_beta, t_tail, t_tail_column
+from beatgrid.functions.tails import _fraction_steps, f_tail, incomplete_beta, t_tail, t_tail_column
 from beatgrid.operators import joins, ranking, regression
 from beatgrid.plans import modelling as plan
 
@@ -294,3 +294,14 @@ def test_clusters_of_few_equal_or_no_rows(spark):
     assert tuple(got.facts().first()) == (3, 1, 1, 0, 0)
     assert tuple(regression.fit_clusters(spark.createDataFrame([(3, None, 1.0)], schema), ["a", "b"]).facts().first()) == (1, 1, 0, 0, 0)
     assert regression.cluster(spark.createDataFrame([], schema), ["a", "b"]).collect() == []
+
+
+def test_tails_of_millions_of_degrees_take_few_steps(spark):
+    points = [t / 100 for t in range(5, 700, 15)] + [1.7320, 1.7321, 30.0, -2.0]
+    df = spark.createDataFrame([(t, d) for t in points for d in (1, 2, 5, 40_000, 30_000_000)], "t double, d int")
+    x, a = F.col("d") / (F.col("d") + F.col("t") ** 2), F.col("d") / 2
+    steps = _fraction_steps(F.col("t"), x < (a + 1) / (a + 2.5))
+    for r in df.select("t", "d", t_tail_column(F.col("t"), F.col("d")).alias("p"), steps.alias("steps")).collect():
+        expected = math.erfc(abs(r["t"]) / math.sqrt(2)) if r["d"] > 10**6 else t_tail(r["t"], r["d"])
+        assert r["p"] == pytest.approx(expected, rel=1e-5 if r["d"] > 10**6 else 1e-9, abs=1e-13)
+        assert r["steps"] <= 200
