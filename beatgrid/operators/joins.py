@@ -1,7 +1,8 @@
 """Joins of rates, counts and area names.
 
 No side is force-broadcast: which tables are small is not known here, so Spark
-decides by measured size. Where it shuffles, hot keys are split at run time.
+decides by measured size, except that sides of about one size are merged. Where it
+shuffles, hot keys are split at run time.
 """
 
 from collections.abc import Sequence
@@ -10,16 +11,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def join_reduced(df: DataFrame, reduced: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+def join_reduced(df: DataFrame, reduced: DataFrame, on: Sequence[str], how: str, merge: bool = False) -> DataFrame:
     """Join rows to a side that was reduced to about one row per key.
 
     The reduced side is already partitioned by the keys. Spark would join in
     that partitioning, and then cannot split a hot key of ``df``. Comparing the
     first key NULL-safe makes it shuffle the reduced side once more, which lets
     it split. NULL keys still match nothing, since ``reduced`` has none left.
+    ``merge`` keeps both sides out of a broadcast, for sides of about one size: a table
+    spread over years is many times the file that Spark judges it by.
     """
     names = {c: f"_on_{i}" for i, c in enumerate(on)}
     other = reduced.filter(F.col(on[0]).isNotNull()).withColumnsRenamed(names)
+    if merge:
+        other = other.hint("merge")
     condition = [F.col(on[0]).eqNullSafe(F.col("_on_0"))]
     condition += [F.col(c) == F.col(names[c]) for c in on[1:]]
     return df.join(other, condition, how).drop(*names.values())
@@ -42,15 +47,17 @@ def full_outer_on(many: DataFrame, one: DataFrame, on: Sequence[str]) -> DataFra
     side whose keys may repeat, plus the rows of the other side whose key it
     lacks, a hot key of ``many`` is split at run time. ``one`` is expected to
     have about one row per key, as counts have; repeats there are still right.
+    The keys of ``many`` that ``one`` has are found before they are made distinct, so no
+    task holds all keys of a scan.
     """
-    found = many.select(*on).distinct()
-    unmatched = join_reduced(one, found, on, "left_anti")
-    return join_reduced(many, one, on, "left").unionByName(unmatched, allowMissingColumns=True)
+    found = join_reduced(many.select(*on), one.select(*on), on, "left_semi", merge=True).distinct()
+    unmatched = join_reduced(one, found, on, "left_anti", merge=True)
+    return join_reduced(many, one, on, "left", merge=True).unionByName(unmatched, allowMissingColumns=True)
 
 
 def left_from_skeleton(skeleton: DataFrame, values: DataFrame, on: Sequence[str]) -> DataFrame:
     """The skeleton defines the rows; values are attached where present."""
-    return join_reduced(skeleton, values, on, "left")
+    return join_reduced(skeleton, values, on, "left", merge=True)
 
 
 def first_rows(df: DataFrame, on: Sequence[str], columns: Sequence[str],

@@ -45,3 +45,14 @@ def test_missing_keys_match_nothing(spark):
     got = sorted(map(tuple, joins.left_from_skeleton(left, right, ON).collect()), key=str)
     assert got == sorted([(None, 1, None), ("A", 1, 6), ("A", None, None)], key=str)
     assert [tuple(r) for r in joins.inner_on(left, right, ON).collect()] == [("A", 1, 6)]
+
+
+@pytest.mark.parametrize("name", ["left", "full_outer"])
+def test_sides_of_about_one_size_are_not_broadcast(spark, name):
+    """A few names spread over years look small to Spark, however many rows they become."""
+    spread = spark.range(50).selectExpr("CAST(id AS STRING) AS name", "explode(sequence(1, 40)) AS year")
+    out = CASES[name][0](spread.selectExpr("name", "year", "'v' AS v"), spread.selectExpr("name", "year", "1L AS count"))
+    assert out.count() == 2000
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
