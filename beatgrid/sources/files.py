@@ -28,7 +28,8 @@ def kind_of(path: Column, kinds=tuple(HEADERS)) -> Column:
     Spark writes a CSV "file" as a folder of parts, so for a part file the name
     of its folder counts, above any partition folders.
     """
-    pattern = ".*(" + "|".join(kinds) + r")\.csv(?:(?:/[^/=]+=[^/]*)*/part-[^/]*)?$"
+    # Anchored, as a search would start anew at every character of a path that does not match.
+    pattern = "(?s)^.*(" + "|".join(kinds) + r")\.csv(?:(?:/[^/=]+=[^/]*)*/part-[^/]*)?$"
     found = F.regexp_extract(path, pattern, 1)
     return F.when(found == "", UNIDENTIFIED).otherwise(found)
 

@@ -115,7 +115,7 @@ def read_tree(spark: SparkSession, root: str, kinds=tuple(HEADERS), glob: str =
         .filter(~F.col("line").isin(*HEADERS.values()))
         .withColumn("kind", kind_of(F.col("path"), kinds))
     )
-    name = F.regexp_extract("path", r"([^/]*)\.csv(?:/[^/]*)*$", 1)
+    name = F.regexp_extract("path", r"(?:^|/)([^/]*)\.csv(?:/[^/]*)*$", 1)
     schema = lambda kind: ", ".join(f"`{c}` string" for c in RECORD_COLUMNS[kind])
     options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
     parsed = lines.withColumns({struct_name(k): F.when(F.col("kind") == k, F.from_csv("line", schema(k), options)) for k in kinds})

@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from beatgrid.operators import clean, joins, rollup
 from beatgrid.plans import incidents
 from beatgrid.schemas import RECORD_COLUMNS, STREET_ANALYSIS, text_schema
 from beatgrid.sources import files, records
+from beatgrid.sources.files import kind_of
 from beatgrid.vocabulary import HEADERS
 
 
@@ -130,3 +132,14 @@ def test_audit_while_cleaning(spark, tmp_path):
     written = spark.read.parquet(str(tmp_path / "clean")).select(*STREET_ANALYSIS)
     assert sorted(map(tuple, written.collect())) == sorted(map(tuple, incidents.clean_street(raw).collect()))
     assert written.count() == seen[0]["locatable"]
+
+
+def test_path_patterns_do_not_start_anew_at_every_character(spark):
+    """A long folder name costs a search without an anchor the square of its length, for every line of a file."""
+    paths = ["/in/" + "x" * 60_000 + "/2020-01-north-notes.csv", "a-street.csv", "/b/2020-01-c-street.csv/folder=1/part-0.csv",
+             "/s-street.csv/other.csv", "/d-outcomes.csv/part-1", "/e-outcomes.csv/sub/part-1", "line\nbreak-street.csv"]
+    start = time.monotonic()
+    found = spark.createDataFrame([(p,) for p in paths * 20], "path string").select("path", kind_of(F.col("path")).alias("kind")).distinct().collect()
+    assert time.monotonic() - start < 20
+    assert {r["path"]: r["kind"] for r in found} == dict(zip(paths, [
+        "unidentified", "street", "street", "unidentified", "outcomes", "unidentified", "street"]))

@@ -83,7 +83,7 @@ def mixed_tree(spark: SparkSession, sf: str) -> DataFrame:
     files = (classify_files(list_files(spark, root)).groupBy("kind", F.substring(name, 1, 7).alias("month"))
              .agg(F.count(F.lit(1)).alias("n_files")))
     tree = read_tree(spark, root)
-    month = F.substring(F.regexp_extract("path", r"([^/]*)$", 1), 1, 7)
+    month = F.substring(F.substring_index("path", "/", -1), 1, 7)
     ids = F.coalesce(F.col("street.crime_id"), F.col("outcomes.crime_id"))
     rows = tree.groupBy("kind", month.alias("month")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("force").alias("n_forces"), F.count(ids).alias("n_ids"),
