@@ -32,15 +32,14 @@ from workload.view_sql import with_views
 
 
 def _write_record_files(df: DataFrame, path: str, header: str) -> None:
-    """Monthly CSV parts below ``path`` under the given header."""
+    """Monthly CSV parts below ``path`` under the given header, from rows that are together by month."""
     named = df.toDF(*header.split(",")).withColumn("folder", F.col("Month"))
-    (named.hint("rebalance", "folder").write.partitionBy("folder")
-     .option("header", True).option("escape", '"').csv(path))
+    named.write.partitionBy("folder").option("header", True).option("escape", '"').csv(path)
 
 
 def ingest_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "ingest")
-    _write_record_files(v.incidents(spark, sf), f"{root}/all/all-street.csv", HEADERS["street"])
+    _write_record_files(v.incidents(spark, sf, by_month=True), f"{root}/all/all-street.csv", HEADERS["street"])
     return read_records(spark, kind_glob(root, "street"), "street", recursive=True)
 
 
@@ -105,7 +104,7 @@ COMPACT_BYTES = 4 << 20
 
 def compact_files(spark: SparkSession, sf: str) -> DataFrame:
     root, out = scratch_path(spark, "compact-in"), scratch_path(spark, "compact-out")
-    _write_record_files(v.outcome_records(spark, sf), f"{root}/all/all-outcomes.csv", HEADERS["outcomes"])
+    _write_record_files(v.outcome_records(spark, sf, by_month=True), f"{root}/all/all-outcomes.csv", HEADERS["outcomes"])
     compact_by_bytes(spark, root, "outcomes", out, COMPACT_BYTES)
     return read_stage(spark, out, record_schema("outcomes"))
 
@@ -126,7 +125,7 @@ def classify_files_query(spark: SparkSession, sf: str) -> DataFrame:
 def validate_headers_query(spark: SparkSession, sf: str) -> DataFrame:
     """Whether all files of a kind and month have the right header."""
     root = scratch_path(spark, "headers")
-    street, outcomes = v.incidents(spark, sf), v.outcome_records(spark, sf)
+    street, outcomes = v.incidents(spark, sf, by_month=True), v.outcome_records(spark, sf, by_month=True)
     good = F.substring("month", 1, 4) != "1997"
     _write_record_files(street.filter(good), f"{root}/all/good-street.csv", HEADERS["street"])
     swapped = HEADERS["street"].replace("Longitude,Latitude", "Latitude,Longitude")

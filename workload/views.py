@@ -26,9 +26,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def incidents(spark: SparkSession, sf: str) -> DataFrame:
-    """Street records with blanks, missing locations and duplicated keys."""
-    return table(spark, sf, "lineitem").selectExpr(
+def incidents(spark: SparkSession, sf: str, by_month: bool = False) -> DataFrame:
+    """Street records with blanks, missing locations and duplicated keys.
+
+    ``by_month`` brings the rows of a month together, before they become wide text.
+    """
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")
+    if by_month:
+        items = items.withColumn("_month", F.year("l_shipdate") * 12 + F.month("l_shipdate")).hint("rebalance", "_month")
+    return items.selectExpr(
         "CASE WHEN l_orderkey % 10 = 0 THEN '' ELSE CAST(l_orderkey AS STRING) END AS crime_id",
         "date_format(l_shipdate, 'yyyy-MM') AS month",
         "concat('Force ', l_suppkey % 40) AS reported_by",
@@ -44,8 +50,8 @@ def incidents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def outcome_records(spark: SparkSession, sf: str) -> DataFrame:
-    return incidents(spark, sf).drop("crime_type", "context")
+def outcome_records(spark: SparkSession, sf: str, by_month: bool = False) -> DataFrame:
+    return incidents(spark, sf, by_month).drop("crime_type", "context")
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
