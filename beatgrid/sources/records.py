@@ -8,7 +8,7 @@ from beatgrid.functions.text import null_if_blank
 from beatgrid.operators.joins import join_reduced
 from beatgrid.schemas import CROSSWALK_COLUMNS, RECORD_COLUMNS, record_schema, text_schema
 from beatgrid.sources.files import kind_of, list_files, pack_files
-from beatgrid.sources.staging import write_stage
+from beatgrid.sources.staging import materialise, write_stage
 from beatgrid.vocabulary import HEADERS
 
 CORRUPT = "_corrupt_record"
@@ -80,6 +80,8 @@ def compact_by_bytes(spark: SparkSession, root: str, kind: str, out: str, target
     """
     files = list_files(spark, root).filter(kind_of(F.col("path")) == kind)
     bins, total = pack_files(files, target_bytes)
+    # Written, as Spark judges a listing by the length of its files; few of them then need no shuffle of the rows.
+    bins = materialise(bins, "bins")
     rows = read_records(spark, kind_glob(root, kind), kind, recursive=True, with_place=True)
     bin_of = (F.col("first_bin") + F.floor((F.col("before") + F.col("_block")) / target_bytes)).cast("int")
     placed = join_reduced(rows, bins.withColumnRenamed("path", "_path"), ["_path"], "left").withColumn("_bin", bin_of)
