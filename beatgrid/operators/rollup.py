@@ -162,19 +162,20 @@ def spread(cells: DataFrame, keys: Sequence[str], crime_vocabulary: Mapping[str,
            outcome_vocabulary: Mapping[str, str], together: Sequence[str] | None = None) -> DataFrame:
     """``total_obs``, one count per type, per outcome and per pair of both.
 
-    ``cells`` has one row per key and cell. The few cells of a key are brought together
-    in long form (by ``together``, a subset of the keys that determines the rest) as one
-    map, then spread row by row; wide rows are never shuffled, nor held side by side by
-    an aggregate. Other columns are sums of cells.
+    The few cells of a key are brought together in long form (by ``together``,
+    a subset of the keys that determines the rest), then spread within their
+    partition; wide rows are never shuffled. Other columns are sums of cells.
+    Partitions are as many as the session shuffles by, and not merged by their bytes:
+    the cells of a key are few bytes, its wide row is many.
     """
     crimes, outcomes = list(crime_vocabulary.values()), list(outcome_vocabulary.values())
     lines, width = len(crimes) + 1, len(outcomes) + 1
     grid = [[line * width + column for column in range(width)] for line in range(lines)]
     flat = [cell for line in grid for cell in line]
     pivoted = (
-        cells.repartition(*[F.col(k) for k in together or keys])
-        .groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("cell", "n"))).alias("_cells"))
-        .selectExpr(*keys, *[f"coalesce(try_element_at(_cells, {cell}), 0L) AS c{cell}" for cell in flat])
+        cells.repartition(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), *[F.col(k) for k in together or keys])
+        .groupBy(*keys).pivot("cell", flat).agg(F.sum("n"))
+        .selectExpr(*keys, *[f"coalesce(`{cell}`, 0L) AS c{cell}" for cell in flat])
     )
     return pivoted.selectExpr(
         *keys,
