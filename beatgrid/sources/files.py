@@ -1,6 +1,7 @@
 """File classification and header validation over whole folder trees."""
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -31,7 +32,17 @@ def kind_of(path: Column, kinds=tuple(HEADERS)) -> Column:
     # Anchored, as a search would start anew at every character of a path that does not match.
     pattern = "(?s)^.*(" + "|".join(kinds) + r")\.csv(?:(?:/[^/=]+=[^/]*)*/part-[^/]*)?$"
     found = F.regexp_extract(path, pattern, 1)
-    return F.when(found == "", UNIDENTIFIED).otherwise(found)
+    # A path that ends in a kind needs no pattern; of kinds that end alike the shortest counts, as in the pattern.
+    ends = [(path.endswith(f"{k}.csv"), F.lit(k)) for k in sorted(kinds, key=len)]
+    first, *rest = [*ends, (found == "", F.lit(UNIDENTIFIED))]
+    return reduce(lambda kind, case: kind.when(*case), rest, F.when(*first)).otherwise(found)
+
+
+def record_name(path: Column) -> Column:
+    """The name without ``.csv`` of the first file or folder of a path that ends so; blank if none does."""
+    plain, last = path.endswith(".csv") & ~path.contains(".csv/"), F.substring_index(path, "/", -1)
+    return (F.when(plain, F.left(last, F.length(last) - len(".csv")))
+            .otherwise(F.regexp_extract(path, r"(?:^|/)([^/]*)\.csv(?:/[^/]*)*$", 1)))
 
 
 def classify_files(files: DataFrame, path: str = "path") -> DataFrame:

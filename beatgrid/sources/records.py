@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from beatgrid.functions.text import null_if_blank
 from beatgrid.operators.joins import join_reduced
 from beatgrid.schemas import CROSSWALK_COLUMNS, RECORD_COLUMNS, record_schema, text_schema
-from beatgrid.sources.files import kind_of, list_files, pack_files
+from beatgrid.sources.files import kind_of, list_files, pack_files, record_name
 from beatgrid.sources.staging import materialise, write_stage
 from beatgrid.vocabulary import HEADERS
 
@@ -115,17 +115,17 @@ def read_tree(spark: SparkSession, root: str, kinds=tuple(HEADERS), glob: str =
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
         .filter(~F.col("line").isin(*HEADERS.values()))
-        .withColumn("kind", kind_of(F.col("path"), kinds))
+        .withColumns({"kind": kind_of(F.col("path"), kinds), "_name": record_name(F.col("path"))})
     )
-    name = F.regexp_extract("path", r"(?:^|/)([^/]*)\.csv(?:/[^/]*)*$", 1)
     schema = lambda kind: ", ".join(f"`{c}` string" for c in RECORD_COLUMNS[kind])
-    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    # Blank fields, quoted or not, are missing by the parser's own setting: expressions for every field of
+    # every kind would outgrow what the JVM compiles of one scan.
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": "", "emptyValue": ""}
     parsed = lines.withColumns({struct_name(k): F.when(F.col("kind") == k, F.from_csv("line", schema(k), options)) for k in kinds})
-    filled = {k: F.struct(*[null_if_blank(f"{struct_name(k)}.{c}").alias(c) for c in RECORD_COLUMNS[k]]) for k in kinds}
     return parsed.select(
-        "path", "kind", F.nullif(F.regexp_extract(name, r"^(\d{4}-\d{2})-", 1), F.lit("")).alias("month"),
-        F.nullif(F.regexp_extract(name, r"^\d{4}-\d{2}-(.*)-(?:" + "|".join(kinds) + ")$", 1), F.lit("")).alias("force"),
-        "line", *[F.when(F.col("kind") == k, columns).alias(struct_name(k)) for k, columns in filled.items()])
+        "path", "kind", F.nullif(F.regexp_extract("_name", r"^(\d{4}-\d{2})-", 1), F.lit("")).alias("month"),
+        F.nullif(F.regexp_extract("_name", r"^\d{4}-\d{2}-(.*)-(?:" + "|".join(kinds) + ")$", 1), F.lit("")).alias("force"),
+        "line", *map(struct_name, kinds))
 
 
 def of_kind(tree: DataFrame, kind: str) -> DataFrame:

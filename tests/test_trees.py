@@ -5,6 +5,7 @@ import random
 import time
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from beatgrid.operators import clean, joins, rollup
@@ -13,6 +14,7 @@ from beatgrid.schemas import RECORD_COLUMNS, STREET_ANALYSIS, text_schema
 from beatgrid.sources import files, records
 from beatgrid.sources.files import kind_of
 from beatgrid.vocabulary import HEADERS
+from workload import intake
 
 
 def write(folder, name, lines):
@@ -143,3 +145,104 @@ def test_path_patterns_do_not_start_anew_at_every_character(spark):
     assert time.monotonic() - start < 20
     assert {r["path"]: r["kind"] for r in found} == dict(zip(paths, [
         "unidentified", "street", "street", "unidentified", "outcomes", "unidentified", "street"]))
+
+
+def tree_tables(spark, folder, n=200):
+    """Items and orders with missing values, some locations under both forces and some rows twice."""
+    spark.range(n).selectExpr(
+        "IF(id % 31 = 0, NULL, id % 350) AS l_orderkey", "IF(id % 23 = 0, NULL, id % 9) AS l_partkey", "IF(id % 29 = 0, NULL, id % 45) AS l_suppkey",
+        "'A' AS l_returnflag", "IF(id % 7 = 0, NULL, 'O') AS l_linestatus",
+        "IF(id % 37 = 0, NULL, timestamp_seconds(820000000 + id * 200000)) AS l_shipdate").write.parquet(f"{folder}/lineitem.parquet")
+    spark.range(n).selectExpr(
+        "IF(id % 31 = 0, NULL, id % 350) AS o_orderkey", "IF(id % 29 = 0, NULL, id % 45) AS o_custkey", "'F' AS o_orderstatus",
+        "IF(id % 37 = 0, NULL, timestamp_seconds(820000000 + id * 200000)) AS o_orderdate",
+        "IF(id % 3 = 0, NULL, '1-URGENT') AS o_orderpriority").write.parquet(f"{folder}/orders.parquet")
+    return str(folder)
+
+
+def test_rows_of_a_tree_are_moved_before_they_are_text(spark, tmp_path, monkeypatch):
+    """Shuffled as text, the rows take as much disk a second time."""
+    plans = []
+    monkeypatch.setattr(DataFrameWriter, "csv", lambda self, *a, f=DataFrameWriter.csv, **b: plans.append(
+        self._df._jdf.queryExecution().optimizedPlan().toString()) or f(self, *a, **b))
+    intake._record_tree(spark, tree_tables(spark, tmp_path))
+    assert len(plans) == 4
+    for plan in plans:
+        above, below = plan.split("RepartitionByExpression")
+        text = "Act 1984" if "o_orderkey" in plan else "Road"
+        assert text in above and text not in below and "Sort [_m" in above
+
+
+def test_one_file_for_each_name_in_a_tree(spark, tmp_path):
+    root = intake._record_tree(spark, tree_tables(spark, tmp_path)).removeprefix("file:")
+    found = sorted(os.path.relpath(os.path.join(d, f), root) for d, _, names in os.walk(root) for f in names if f.endswith(".csv"))
+    folders = {os.path.dirname(f) for f in found}
+    assert len(folders) > 10
+    undated = {f.rsplit("/", 1)[1] for f in found if f.startswith("__HIVE_DEFAULT_PARTITION__/")}
+    assert {"street.csv", "outcomes.csv", "stop-and-search.csv", "force-1-street.csv", "force-1-outcomes.csv", "force-0-stop-and-search.csv"} <= undated
+    rows = spark.read.parquet(f"{tmp_path}/lineitem.parquet").count()
+    street = [f for f in found if f.endswith("street.csv")]
+    assert sum(sum(1 for _ in open(os.path.join(root, f), encoding="utf-8")) - 1 for f in street) == rows
+
+
+def shuffle_files(spark):
+    names = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {names.apply(i).getName() for i in range(names.size()) if names.apply(i).getName().endswith(".data")}
+
+
+def test_shuffles_of_written_files_do_not_stay(spark, tmp_path):
+    folder = tree_tables(spark, tmp_path)
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", shuffle_files(spark)
+    setting = spark.conf.get(key, None)
+    intake._record_tree(spark, folder)
+    end = time.monotonic() + 20
+    while shuffle_files(spark) - before and time.monotonic() < end:
+        time.sleep(0.2)
+    assert shuffle_files(spark) - before == set()
+    assert spark.conf.get(key, None) == setting
+
+
+def test_counts_of_a_mixed_tree(spark, tmp_path):
+    """Against plain counts of the lines of the files; no sort and no copy of a line for every distinct count."""
+    counted = intake.mixed_tree(spark, tree_tables(spark, tmp_path))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    scan = plan[:plan.index("FileScan text")].rsplit("Exchange", 1)[1]
+    assert "SortAggregate" not in scan and "Sort [" not in scan
+    tree = records.read_tree(spark, counted.inputFiles()[0].rsplit("/", 2)[0]).collect()
+    want = {}
+    for r in tree:
+        name = r["path"].rsplit("/", 1)[1]
+        w = want.setdefault((r["kind"], name[:7]), dict(files=set(), rows=0, forces=set(), ids=0, locations=set(), objects=0, stated=set()))
+        w["files"].add(name)
+        w["rows"] += 1
+        w["forces"] |= {r["force"]} - {None}
+        street, outcomes, search = r["street"], r["outcomes"], r["stop_and_search"]
+        w["ids"] += any(s is not None and s["crime_id"] is not None for s in (street, outcomes))
+        if street is not None:
+            w["locations"] |= {street["location"]} - {None}
+        if search is not None:
+            w["objects"] += search["object_of_search"] is not None
+            w["stated"] |= {search["self_defined_ethnicity"]} - {None}
+    assert {tuple(r) for r in counted.collect()} == {
+        (*k, len(w["files"]), w["rows"], len(w["forces"]), w["ids"], len(w["locations"]), w["objects"], max(w["stated"], default=None))
+        for k, w in want.items()}
+    assert any(len(w["forces"]) == 2 for w in want.values())
+
+
+def test_names_by_the_short_way_are_those_of_the_pattern(spark):
+    paths = ["/in/2020-01-a-street.csv", "a.csv", ".csv", "/.csv", "/b.csv/part-0.csv", "/c-street.csv/k=1/part-0", "/d.csv/e.csv/f", "/g.txt", "", "h.csv\n",
+             "/i.csvx/j-outcomes.csv", "/\u00e4\u00f6 k.csv", "/l.csv/", None]
+    pattern = F.regexp_extract("path", r"(?:^|/)([^/]*)\.csv(?:/[^/]*)*$", 1)
+    for r in spark.createDataFrame([(p,) for p in paths], "path string").select("path", files.record_name(F.col("path")).alias("got"), pattern.alias("want")).collect():
+        assert r["got"] == r["want"], r["path"]
+    kinds = ("search", "stop-and-search", "street")
+    found = spark.createDataFrame([("x-stop-and-search.csv",), ("x-street.csv/part-search.csv",)], "path string").select(kind_of(F.col("path"), kinds)).collect()
+    assert [r[0] for r in found] == ["search", "search"]
+
+
+def test_blank_fields_of_a_tree_are_missing(spark, tmp_path):
+    write(tmp_path / "2015-01", "2015-01-a-street.csv", [HEADERS["street"], 'id1,,"", ,"a ""b"", c",,"",Null', "", '""'])
+    tree = records.read_tree(spark, str(tmp_path))
+    rows = {r["line"]: r["street"] for r in tree.collect()}
+    assert tuple(rows['id1,,"", ,"a ""b"", c",,"",Null']) == ("id1", None, None, " ", 'a "b", c', None, None, "Null", None, None, None, None)
+    assert tuple(rows[""]) == tuple(rows['""']) == (None,) * len(RECORD_COLUMNS["street"])

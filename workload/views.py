@@ -5,7 +5,9 @@ duplicates, blanks and misses its operators need. Every view grows with its
 tables. ``view_sql`` holds the same definitions for DuckDB.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatgrid.vocabulary import CRIME_TYPES, OUTCOMES
@@ -26,32 +28,50 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def incidents(spark: SparkSession, sf: str, by_month: bool = False) -> DataFrame:
+_INCIDENT = {
+    "crime_id": "CASE WHEN l_orderkey % 10 = 0 THEN '' ELSE CAST(l_orderkey AS STRING) END",
+    "month": "date_format(l_shipdate, 'yyyy-MM')",
+    "reported_by": "concat('Force ', l_suppkey % 40)",
+    "falls_within": "concat('Force ', l_suppkey % 40)",
+    "longitude": "CASE WHEN l_suppkey % 14 = 0 THEN '' ELSE CAST(l_suppkey % 180 AS STRING) END",
+    "latitude": "CASE WHEN l_suppkey % 14 = 0 THEN '' ELSE CAST(l_suppkey % 90 AS STRING) END",
+    "location": "concat('On or near \"Road\", ', l_partkey)",
+    "area_code": "CASE WHEN l_suppkey % 7 = 0 THEN '' ELSE CAST(l_suppkey AS STRING) END",
+    "area_name": "CASE WHEN l_suppkey % 14 = 0 THEN '' ELSE concat('N', l_suppkey) END",
+    "crime_type": "l_returnflag",
+    "outcome": "CASE WHEN l_partkey % 3 = 0 THEN '' ELSE l_linestatus END",
+    "context": "''",
+}
+
+
+def _as_text(rows: DataFrame, columns: Mapping[str, str], files: Mapping[str, Column] | None = None) -> DataFrame:
+    """Records from the few columns they are derived from.
+
+    ``files`` names a file by columns of the record, the last of them distinct for each file.
+    The rows of a file then come together, in order of these columns, before they become
+    wide text; the columns follow the record's.
+    """
+    text = [F.expr(e).alias(c) for c, e in columns.items()]
+    if files is None:
+        return rows.select(*text)
+    placed = (rows.select("*", *text).withColumns(files).select(*rows.columns, *files)
+              .repartition(list(files)[-1]).sortWithinPartitions(*files))
+    return placed.select(*text, *files)
+
+
+def incidents(spark: SparkSession, sf: str, by_month: bool = False, files: Mapping[str, Column] | None = None) -> DataFrame:
     """Street records with blanks, missing locations and duplicated keys.
 
-    ``by_month`` brings the rows of a month together, before they become wide text.
+    ``by_month`` brings the rows of a month together, before they become wide text; ``files`` those of a file.
     """
     items = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")
     if by_month:
         items = items.withColumn("_month", F.year("l_shipdate") * 12 + F.month("l_shipdate")).hint("rebalance", "_month")
-    return items.selectExpr(
-        "CASE WHEN l_orderkey % 10 = 0 THEN '' ELSE CAST(l_orderkey AS STRING) END AS crime_id",
-        "date_format(l_shipdate, 'yyyy-MM') AS month",
-        "concat('Force ', l_suppkey % 40) AS reported_by",
-        "concat('Force ', l_suppkey % 40) AS falls_within",
-        "CASE WHEN l_suppkey % 14 = 0 THEN '' ELSE CAST(l_suppkey % 180 AS STRING) END AS longitude",
-        "CASE WHEN l_suppkey % 14 = 0 THEN '' ELSE CAST(l_suppkey % 90 AS STRING) END AS latitude",
-        "concat('On or near \"Road\", ', l_partkey) AS location",
-        "CASE WHEN l_suppkey % 7 = 0 THEN '' ELSE CAST(l_suppkey AS STRING) END AS area_code",
-        "CASE WHEN l_suppkey % 14 = 0 THEN '' ELSE concat('N', l_suppkey) END AS area_name",
-        "l_returnflag AS crime_type",
-        "CASE WHEN l_partkey % 3 = 0 THEN '' ELSE l_linestatus END AS outcome",
-        "'' AS context",
-    )
+    return _as_text(items, _INCIDENT, files)
 
 
-def outcome_records(spark: SparkSession, sf: str, by_month: bool = False) -> DataFrame:
-    return incidents(spark, sf, by_month).drop("crime_type", "context")
+def outcome_records(spark: SparkSession, sf: str, by_month: bool = False, files: Mapping[str, Column] | None = None) -> DataFrame:
+    return incidents(spark, sf, by_month, files).drop("crime_type", "context")
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,18 +191,22 @@ def file_names(spark: SparkSession, sf: str) -> DataFrame:
     ).distinct()
 
 
-def searches(spark: SparkSession, sf: str) -> DataFrame:
+_SEARCH = {
+    "search_type": "'Person search'",
+    "date": "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\")",
+    "in_operation": "'False'", "operation": "''", "latitude": "'51.5'", "longitude": "'-0.1'",
+    "gender": "o_orderstatus", "age_range": "'18-24'", "self_defined_ethnicity": "concat('Group \"', o_custkey % 9, '\", stated')",
+    "officer_defined_ethnicity": "''", "legislation": "'Act 1984 (section 1)'",
+    "object_of_search": "CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderpriority END",
+    "outcome": "''", "outcome_linked_to_object": "''", "outer_clothing_removed": "'False'",
+    "force": "concat('force-', o_custkey % 2)",
+}
+
+
+def searches(spark: SparkSession, sf: str, files: Mapping[str, Column] | None = None) -> DataFrame:
     """Stop-and-search records, one per order; the force is among the columns of the view, not of the record."""
-    return table(spark, sf, "orders").selectExpr(
-        "'Person search' AS search_type",
-        "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\") AS date",
-        "'False' AS in_operation", "'' AS operation", "'51.5' AS latitude", "'-0.1' AS longitude",
-        "o_orderstatus AS gender", "'18-24' AS age_range", "concat('Group \"', o_custkey % 9, '\", stated') AS self_defined_ethnicity",
-        "'' AS officer_defined_ethnicity", "'Act 1984 (section 1)' AS legislation",
-        "CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderpriority END AS object_of_search",
-        "'' AS outcome", "'' AS outcome_linked_to_object", "'False' AS outer_clothing_removed",
-        "concat('force-', o_custkey % 2) AS force",
-    )
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    return _as_text(orders, _SEARCH, files)
 
 
 def crosswalk_with_conflicts(spark: SparkSession, sf: str) -> DataFrame:
